@@ -72,8 +72,10 @@ def _tuned(spark: SparkSession, plan: Packing) -> SparkSession:
 
 def fingerprint(rows: DataFrame) -> dict:
     """Number of rows and a sum over them that any lost, added or changed row alters, whatever the order."""
-    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(rows.columns)])
-    # two halves, so that no sum overflows below 2**31 rows a half-unit; decimals carry on beyond
+    columns = [F.col(f"`{c}`") for c in sorted(rows.columns)]
+    # the hash passes over nulls, so where they are is hashed too
+    hashed = F.xxhash64(*columns, F.array(*[c.isNull() for c in columns]))
+    # summed in halves as decimals, which don't overflow
     sums = [F.sum(F.shiftright(hashed, 32).cast("decimal(38,0)")).alias("high"), F.sum(hashed.bitwiseAND(0xFFFFFFFF).cast("decimal(38,0)")).alias("low")]
     return rows.agg(F.count(F.lit(1)).alias("n"), *sums).first().asDict()
 
@@ -85,14 +87,13 @@ class VerificationError(RuntimeError):
 def compact(
     spark: SparkSession,
     source: str,
-    n_files: int,
     target: int = TARGET_BYTES,
     open_cost: int = OPEN_COST,
     destination: str | None = None,
 ) -> tuple[str, dict]:
     """Rewrite the Parquet dataset at ``source`` as few well-sized files; returns their folder and figures.
 
-    n_files: number of files the dataset is made of. Combined splits are read with settings from
+    Combined splits are read with settings from
     ``packing``, joined by coalesce without a shuffle, written to a staging folder (in the shared folder,
     unless ``destination`` is given) and then read back: the number of rows and an order-free hash over
     all columns must equal the source's, else VerificationError is raised and the staged files are removed.
@@ -100,14 +101,14 @@ def compact(
     like any other. An empty source gives one empty file.
     """
     fs, path = _file_system(spark, source)
-    total = fs.getContentSummary(path).getLength()
+    summary = fs.getContentSummary(path)
+    total, n_files = summary.getLength(), summary.getFileCount()
     plan = packing(n_files, total, spark.sparkContext.defaultParallelism, target, open_cost)
     own = _tuned(spark, plan)
     rows = own.read.parquet(source)
     staged = destination or staging_path(spark, "compacted")
-    # a task per file would leave cores idle on the last few; the engine's splits are the parallelism
     splits = rows.rdd.getNumPartitions()
-    rows.coalesce(max(1, min(plan.files_out, splits))).write.option("maxRecordsPerFile", 0).parquet(staged)
+    rows.coalesce(max(1, min(plan.files_out, splits))).write.parquet(staged)
     before, after = fingerprint(rows), fingerprint(own.read.parquet(staged))
     out_fs, out_path = _file_system(spark, staged)
     if before != after:
