@@ -116,7 +116,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     tests = {
-        "price_basis": lambda a, y: (a["price_basis"] != "raw") | (y["price_basis"] != "vendor_adjusted"),
+        "price_basis": lambda a, y: ~a["price_basis"].eqNullSafe("raw") | ~y["price_basis"].eqNullSafe("vendor_adjusted"),
         "close": lambda a, y: copydiff.beyond(a["close"], y["close"], 0.001),
         "volume": lambda a, y: copydiff.beyond(a["volume"], y["volume"], 0.02),
     }
@@ -269,7 +269,7 @@ SQL = {
         ), found AS (
           SELECT security_id, d, 'missing_alpaca' AS field FROM pairs WHERE sa IS NULL
           UNION ALL SELECT security_id, d, 'missing_yahoo' FROM pairs WHERE sy IS NULL
-          UNION ALL SELECT security_id, d, 'price_basis' FROM pairs WHERE ba <> 'raw' OR by_ <> 'vendor_adjusted'
+          UNION ALL SELECT security_id, d, 'price_basis' FROM pairs WHERE sa IS NOT NULL AND sy IS NOT NULL AND (ba IS DISTINCT FROM 'raw' OR by_ IS DISTINCT FROM 'vendor_adjusted')
           UNION ALL SELECT security_id, d, 'close' FROM pairs WHERE abs(ca - cy) > 0.001 * greatest(abs(ca), abs(cy))
           UNION ALL SELECT security_id, d, 'volume' FROM pairs WHERE abs(va - vy) > 0.02 * greatest(abs(va), abs(vy))
         )
