@@ -28,6 +28,7 @@ _GREETING = regex.compile(
 _ATTRIBUTION_START = regex.compile(r"^\s*(on|am|el)\s+[\d.\-/]{6,}", regex.IGNORECASE)
 _WITHDRAWN = regex.compile(r"^\s*[\[<(](deleted|removed|withdrawn|gelöscht|entfernt|eliminado|borrado)\b[^\])>]{0,60}[\])>]\s*$", regex.IGNORECASE)
 _END = regex.compile(r"(?<=[.!?…。？！])[\"')\]»]*\s+")
+_SLIPPED = regex.compile(r"(?<=\p{Ll})\.(\p{Ll}) (?=\p{Lu})")
 _REFERRING = regex.compile(r"(^|\W)re [^:]{1,60}: no\.$", regex.IGNORECASE)
 _STEP = regex.compile(r"(^|\W)step \d+:", regex.IGNORECASE)
 # Endings of web addresses, the reserved ones among them.
@@ -76,9 +77,11 @@ def own_lines(text: str | None) -> list[str]:
         before = None
         while before != text:  # the innermost first
             before, text = text, block.sub("\n", text)
-    text = _SMALL_PRINT.sub("\n", _IMAGE.sub("\n", _BREAK.sub("\n", text)))
+    text = _SMALL_PRINT.sub("\n", _IMAGE.sub("\n", text))
+    # a quoted line is quoted to its end, paragraphs in it included
+    text = "\n".join(line for line in text.split("\n") if not _QUOTED.match(line))
     lines: list[str] = []
-    for line in text.split("\n"):
+    for line in _BREAK.sub("\n", text).split("\n"):
         if _SIGNATURE.match(line):
             break
         if _QUOTED.match(line) or _ATTRIBUTION.match(line) or _ATTRIBUTION_START.match(line) or _SENT_FROM.match(line):
@@ -99,7 +102,8 @@ def own_lines(text: str | None) -> list[str]:
 
 def sentences(text: str | None) -> list[str]:
     """The sentences of the author's own text, over line breaks; abbreviating forms stay together."""
-    pieces = _END.split(" ".join(own_lines(text)))
+    # a full stop that slipped before a sentence's last letter is put back
+    pieces = _END.split(_SLIPPED.sub(r"\1. ", " ".join(own_lines(text))))
     out: list[str] = []
     for piece in pieces:
         piece = piece.strip()

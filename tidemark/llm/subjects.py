@@ -4,7 +4,7 @@ Every sentence of a post's own text gets the votes of five labelling functions:
 
 - ``seed``: words of a short hand-made lexicon;
 - ``lexicon``: words and pairs of words learned from labelled posts;
-- ``address``: a web address marks the whole post as advertising, which has no subject;
+- ``address``: a web address in the author's own text speaks for advertising, which has no subject;
 - ``section``: what most other sentences of the thread are about;
 - ``source``: what most sentences of the board are about.
 
@@ -101,8 +101,9 @@ def learn(sample: list, subjects: list[str], options: Options = Options()) -> Le
     lexicon = Lexicon(classes)
     number, k = {c: i for i, c in enumerate(classes)}, len(classes)
     vocabulary: dict[str, int] = {}
+    posts_with: dict[int, set[int]] = {}
     rows, columns, priors = [], [], []
-    for text, labels in sample:
+    for post, (text, labels) in enumerate(sample):
         given = [number[s] for s in labels if s in number and s != NONE]
         prior = np.full(k, 0.01)
         prior[given] += 0.85 / max(1, len(given))
@@ -111,12 +112,17 @@ def learn(sample: list, subjects: list[str], options: Options = Options()) -> Le
             for term in set(features(sentence)):
                 rows.append(len(priors))
                 columns.append(vocabulary.setdefault(term, len(vocabulary)))
+                held = posts_with.setdefault(columns[-1], set())
+                if len(held) < 2:
+                    held.add(post)
             priors.append(prior / prior.sum())
     if not priors:
         return lexicon
     rows_, columns_, prior = np.array(rows), np.array(columns), np.array(priors)
     n, v = len(prior), len(vocabulary)
     unlabelled = prior[:, -1] > 0.5
+    # one post, and so one wrong label, is not enough to teach a term
+    shared = np.array([len(posts_with[i]) > 1 for i in range(v)])
 
     def scores(weights: np.ndarray) -> np.ndarray:
         return np.stack([np.bincount(rows_, weights[columns_, c], n) for c in range(k)], axis=1)
@@ -141,7 +147,7 @@ def learn(sample: list, subjects: list[str], options: Options = Options()) -> Le
         total = evidence.sum(axis=0)
         rate = (counts + total / total.sum()) / (total + 1e-9)
         share = rate / rate.sum(axis=1, keepdims=True)
-        kept = (counts.sum(axis=1) >= (2 if step == 0 else options.least_count)) & (share.max(axis=1) >= options.purity)
+        kept = (counts.sum(axis=1) >= (2 if step == 0 else options.least_count)) & (share.max(axis=1) >= options.purity) & shared
         weights = np.where(kept[:, None], np.log(np.maximum(share, 1e-3) * k), seeds)
         score = scores(weights)
         score[:, -1] += 0.7
@@ -240,8 +246,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
 
     documents: doc_id, text, thread_id, source. labels: doc_id, subject (``none`` for no subject), possibly
     wrong, missing or repeated. subjects: the names, in ``subject``; the list is short and fixed. A post
-    without own sentences (null, empty, blank, withdrawn, all quotes) has no subject, nor has one that
-    gives a web address. Without labels only the seeds vote. A repeated row is judged like any other.
+    without own sentences (null, empty, blank, withdrawn, all quotes) has no subject. Without labels only the seeds vote. A repeated row is judged like any other.
 
     The lexicon is learned from at most ``most_labelled`` labelled posts and holds at most ``most_terms``
     terms, so it may be broadcast. Everything else covers all posts: votes, the counts of vote patterns that
@@ -250,12 +255,14 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
     """
     spark = documents.sparkSession
     names = sorted(r[0] for r in subjects.where(F.col("subject").isNotNull() & (F.col("subject") != NONE)).select("subject").distinct().collect())
+    kind = dict(documents.dtypes)["doc_id"]
+    if not names:
+        return spark.createDataFrame([], f"doc_id {kind}, subject string")
     classes = [*names, NONE]
     k = len(classes)
     lexicon = spark.sparkContext.broadcast(learn(labelled_sample(documents, labels, options), names, options))
 
     read = documents.select("doc_id", "text", F.col("thread_id").cast("long").alias("thread"), F.lower(F.trim("source")).alias("board"))
-    kind = dict(read.dtypes)["doc_id"]
     voted = read.mapInArrow(_vote_posts(lexicon, k), f"doc_id {kind}, thread long, board string, codes array<int>, tally array<int>, address boolean")
     posts = cut(voted.where("size(codes) > 0"))
     placed = (
