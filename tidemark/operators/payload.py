@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.stamps import instant, new_york_date
 from tidemark.functions.text import folded
 from tidemark.operators.timestamps import STRICT, source_zone
+from tidemark.session import spread
 
 #: Both layouts in one schema, so one parse serves bars and actions.
 BODY = (
@@ -72,7 +73,8 @@ def delivered_bars(bronze: DataFrame) -> DataFrame:
     mapped = F.transform(F.try_element_at(body["bars"], F.col("vendor_symbol")), _mapped_bar)
     pairs = F.arrays_zip(body["index"].alias("index"), body["data"].alias("data"))
     framed = F.transform(pairs, lambda p: _framed_bar(body["columns"], p["index"], p["data"]))
-    rows = parsed(bronze).select(
+    needed = bronze.select("bronze_id", "security_id", "vendor_symbol", "source", "ingested_at", "run_id", "payload")
+    rows = parsed(spread(needed)).select(
         "bronze_id",
         "security_id",
         folded(F.col("source")).alias("source"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.stamps import instant, new_york_date
 from tidemark.functions.text import folded
+from tidemark.session import spread
 
 #: Zone of stamps that carry none, by source; the lookup's default is last.
 SOURCE_ZONES = {"alpaca": "America/New_York", "yahoo": "America/New_York"}
@@ -37,11 +38,11 @@ def bar_stamps(bronze: DataFrame, zones: dict[str, str] | None = None, **policy:
     make anything after the document an error). A stamp that no pattern reads has null ``at`` and
     ``trade_date``, and stays. Repeated bronze rows give repeated bars. Extra columns are dropped.
 
-    One pass without a shuffle: parse, explode, cascade.
+    One pass without a shuffle (only an input smaller than the cluster is spread first): parse, explode, cascade.
     """
     body = F.from_json(F.concat(F.lit("["), F.col("payload"), F.lit("]")), PAYLOAD, STRICT)
     one = F.when(F.size(body) == 1, F.try_element_at(body, F.lit(1)))
-    parsed = bronze.select("bronze_id", source_zone(F.col("source"), zones).alias("zone"), one.alias("body"))
+    parsed = spread(bronze.select("bronze_id", "source", "payload")).select("bronze_id", source_zone(F.col("source"), zones).alias("zone"), one.alias("body"))
     mapped = F.transform(F.flatten(F.map_values("body.bars")), lambda bar: bar["t"])
     stamps = parsed.select("bronze_id", "zone", F.posexplode(F.coalesce(mapped, F.col("body.index"))).alias("bar_no", "stamp"))
     timed = stamps.withColumn("at", instant(F.col("stamp"), F.col("zone"), **policy))

@@ -55,3 +55,14 @@ def cut(df):
     """The frame, computed once and kept in the shared folder, so that lost executors cost no recomputation."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """The frame in at least as many partitions as there are cores, for work that costs far more than a shuffle.
+
+    Only a small input has fewer; a large one is left as its scan splits it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
