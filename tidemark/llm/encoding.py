@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.transducer import MOST_VOCABULARY_BYTES, Transducer, decode, read_ranks
+from tidemark.session import spread
 
 #: Where the rank file lies; a parameter of every operator.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -54,7 +55,7 @@ def encode_corpus(documents: DataFrame, vocabulary: str = VOCABULARY, identity:
                 ids = pa.array([encode(t) for t in texts], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), ids], names=[identity, "ids"])
 
-    rows = documents.select(identity, text)
+    rows = spread(documents.select(identity, text))
     kind = dict(rows.dtypes)[identity]
     return rows.mapInArrow(run, f"`{identity}` {kind}, ids array<int>")
 
@@ -70,7 +71,7 @@ def count_tokens(documents: DataFrame, vocabulary: str = VOCABULARY, identity: s
                 sizes = pa.array([len(encode(t)) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), sizes], names=[identity, "n_tokens"])
 
-    rows = documents.select(identity, text)
+    rows = spread(documents.select(identity, text))
     kind = dict(rows.dtypes)[identity]
     return rows.mapInArrow(run, f"`{identity}` {kind}, n_tokens long")
 

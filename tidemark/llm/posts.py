@@ -34,6 +34,7 @@ _STEP = regex.compile(r"(^|\W)step \d+:", regex.IGNORECASE)
 # Endings of web addresses, the reserved ones among them.
 _ENDINGS = "com|net|org|info|biz|shop|site|online|top|xyz|ru|cn|io|invalid|example|test"
 _ADDRESS = regex.compile(rf"https?://\S+|www\.\S+|\b[\p{{L}}\p{{N}}-]{{3,}}\.(?:{_ENDINGS})\b", regex.IGNORECASE)
+_POINT = regex.compile(r"://|[\p{L}\p{N}-]\.[\p{L}\p{N}]{2}")  # no address is without one of these
 _DISGUISED = regex.compile(r"\b(?=[\p{L}\p{N}]*\p{L}{2})(?=[\p{L}\p{N}]*[01345])[\p{L}01345]{3,}\b|(?<=\.)[\p{L}01345]{3,}\b")
 _PLAIN = str.maketrans("01345", "oieas")
 _WRONG = regex.compile("[ÂÃÄâð][\u0080-ÿŒ-™]{1,3}")
@@ -122,6 +123,8 @@ def sentences(text: str | None) -> list[str]:
 
 def has_address(sentence: str) -> bool:
     """Whether a sentence gives a web address, disguised or not."""
+    if not _POINT.search(sentence):
+        return False
     return bool(_ADDRESS.search(sentence) or _ADDRESS.search(undisguised(sentence)))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.posts import features, has_address, sentences
-from tidemark.session import cut
+from tidemark.session import cut, spread
 
 NONE = "none"
 
@@ -262,7 +262,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
     k = len(classes)
     lexicon = spark.sparkContext.broadcast(learn(labelled_sample(documents, labels, options), names, options))
 
-    read = documents.select("doc_id", "text", F.col("thread_id").cast("long").alias("thread"), F.lower(F.trim("source")).alias("board"))
+    read = spread(documents.select("doc_id", "text", F.col("thread_id").cast("long").alias("thread"), F.lower(F.trim("source")).alias("board")))
     voted = read.mapInArrow(_vote_posts(lexicon, k), f"doc_id {kind}, thread long, board string, codes array<int>, tally array<int>, address boolean")
     posts = cut(voted.where("size(codes) > 0"))
     placed = (
