@@ -307,7 +307,7 @@ def table_history(spark: SparkSession, folder: str) -> DataFrame:
 def table_catalog(spark: SparkSession, folder: str) -> DataFrame:
     held = _demo_table(spark, folder)
     names = find_tables(spark, held.path.removesuffix("/reference/sectors"))
-    return names.select("name").join(held.properties().select(F.col("value").alias("constraint")), how="cross")
+    return names.select("name", held.properties().select("value").scalar().alias("constraint"))
 
 
 def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -325,8 +325,38 @@ def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
     return held.read().select(*schemas.BAR_KEYS, "close", "volume", "value_hash", "source_run_id")
 
 
+_PRICES = ("open", "high", "low", "close", "vwap", "trade_count")
+#: Columns given as text: dates, exact decimals, and whole numbers that may be null, which engines show differently.
+SHOWN = {
+    "latest_per_key": ("trade_date", "close"),
+    "latest_wins_history": ("trade_date", *_PRICES),
+    "latest_wins_merge": ("trade_date", *_PRICES),
+    "payload_bars": _PRICES,
+    "payload_actions": ("value",),
+    "silver_bars": ("trade_date", "close"),
+    "bronze_range_overlap": ("request_start", "request_end"),
+    "empty_responses": ("request_start",),
+    "run_summary": ("request_start", "request_end"),
+    "vendor_ratio_histogram": ("ratio",),
+    "bars_overview": ("first_day", "last_day"),
+    "top_recent_bars": ("trade_date", "close"),
+    "exact_price_sum": ("close_sum",),
+    "table_history": ("n_new",),
+    "stream_bars": ("trade_date", "close"),
+}
+
+
+def _shown(query):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = query(spark, folder)
+        return rows.withColumns({c: F.col(c).cast("string") for c in SHOWN.get(query.__name__, ())})
+
+    run.__name__ = query.__name__
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _shown(f)
     for f in (
         scd2_history, scd2_merge, scd2_current, scd2_as_of, scd2_changed_keys, scd2_invariant,
         latest_per_key, latest_wins_history, latest_wins_merge, row_hashes,
@@ -603,3 +633,7 @@ SQL = {
         QUALIFY row_number() OVER (PARTITION BY security_id, hashed.trade_date, source ORDER BY ingested_at DESC, run_id DESC, value_hash DESC) = 1
     """,
 }
+
+for _name, _columns in SHOWN.items():
+    _texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _columns)
+    SQL[_name] = f"SELECT * REPLACE ({_texts}) FROM ({SQL[_name]})"
