@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 BUCKET_DAYS = 30
 #: Bits and probes per identifier: about one false alarm in a hundred, each of which costs one exact look-up.
 BITS, PROBES = 10, 7
+#: Rows of a partition at most, on average: their identifiers are held in the task's memory.
+PARTITION_ROWS = 2_000_000
 
 
 class Bloom:
@@ -146,7 +148,10 @@ def repeats(rows: DataFrame, key: Column, arrival: Column, identity: str, bucket
         F.xxhash64(F.when(settled, F.col("id").cast("string")).otherwise(F.col("key"))).alias("hash"),
         span.alias("bucket"),
     )
-    ordered = routed.repartition("hash").sortWithinPartitions("arrival", "id")
+    wanted = -(-rows.count() // PARTITION_ROWS)  # answered from the files' footers or a narrow scan
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parted = routed.repartition(wanted, "hash") if wanted > usual else routed.repartition("hash")
+    ordered = parted.sortWithinPartitions("arrival", "id")
     found = ordered.select("id", "key", "hash", "bucket").mapInArrow(_seen_before, "id long")
     return found.select(F.col("id").alias(identity))
 
