@@ -38,7 +38,7 @@ def as_known(
 
     Union of both, sorted by entity, time and priority; the last version is carried forward. No values
     that became known later can reach an event. Entities with more rows than one task should sort are
-    split into parts by a hash of the event, and their versions (few, since they are deduplicated)
+    split into parts by row number, and their versions (few, since they are deduplicated)
     are repeated for each part.
     """
     version = F.struct("valid_from", "valid_to", *attributes)
@@ -51,11 +51,13 @@ def as_known(
     latest = F.max("_at").over(Window.partitionBy(key)) == F.col("_at")
     distinct = distinct.withColumn("version", F.struct("version.*", latest.alias("is_latest")))
 
-    rows = events.select(F.col(key), at.alias("_at"), F.struct(*event_columns).alias("event"))
+    # numbered by the scan, so that even copies of one event spread
+    number = F.monotonically_increasing_id().alias("_number")
+    rows = events.select(F.col(key), at.alias("_at"), F.struct(*event_columns).alias("event"), number)
     hot = F.broadcast(hot_keys(events, key, hot_rows))  # fewer than skew.MOST_HOT rows by construction
     parts = F.coalesce(F.col("n_salts"), F.lit(1))
     rows = rows.join(hot, rows[key].eqNullSafe(hot[key]), "left").select(
-        rows[key], "_at", "event", F.pmod(F.xxhash64("event", "_at"), parts).cast("int").alias("_part")
+        rows[key], "_at", "event", F.pmod("_number", parts).cast("int").alias("_part")
     )
     states = distinct.join(hot, distinct[key] == hot[key], "left").select(
         distinct[key], "_at", "version", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
