@@ -35,6 +35,7 @@ _STEP = regex.compile(r"(^|\W)step \d+:", regex.IGNORECASE)
 _ENDINGS = "com|net|org|info|biz|shop|site|online|top|xyz|ru|cn|io|invalid|example|test"
 _ADDRESS = regex.compile(rf"https?://\S+|www\.\S+|\b[\p{{L}}\p{{N}}-]{{3,}}\.(?:{_ENDINGS})\b", regex.IGNORECASE)
 _POINT = regex.compile(r"://|[\p{L}\p{N}-]\.[\p{L}\p{N}]{2}")  # no address is without one of these
+_MIXED = regex.compile(r"[01345]\p{L}|\p{L}[01345]")
 _DISGUISED = regex.compile(r"\b(?=[\p{L}\p{N}]*\p{L}{2})(?=[\p{L}\p{N}]*[01345])[\p{L}01345]{3,}\b|(?<=\.)[\p{L}01345]{3,}\b")
 _PLAIN = str.maketrans("01345", "oieas")
 _WRONG = regex.compile("[ÂÃÄâð][\u0080-ÿŒ-™]{1,3}")
@@ -63,6 +64,8 @@ def repaired(text: str) -> str:
 
 def undisguised(text: str) -> str:
     """Digits that stand for letters inside a word turned back into them."""
+    if not _MIXED.search(text):
+        return text
     return _DISGUISED.sub(lambda m: m.group().translate(_PLAIN), text)
 
 

@@ -56,30 +56,46 @@ class Options:
 
 
 class Lexicon:
-    """Weights of terms for each class; the last class is ``none``."""
+    """Seeds and learned weights of terms for each class; the last class is ``none``."""
 
     def __init__(self, classes: list[str]):
         self.classes = classes
-        self.weights: dict[str, np.ndarray] = {}
         self.seeds = {word: classes.index(s) for s, words in SEEDS.items() if s in classes for word in words.split()}
-
-    def votes(self, sentence: str) -> tuple[int, int, int]:
-        """Votes of the seed and the learned lexicon, 0 for none given, else the class's number from 1; 1 if the latter is sure."""
-        terms = set(features(sentence))
-        seen = np.zeros(len(self.classes))
-        for term in terms:
-            if term in self.seeds:
-                seen[self.seeds[term]] += 1
-        order = np.sort(seen)
-        seed = int(seen.argmax()) + 1 if order[-1] > order[-2] else 0
-        found = [self.weights[t] for t in terms if t in self.weights]
-        if not found:
-            return seed, 0, 0
-        score = np.sum(found, axis=0)
-        score[-1] += 0.7
-        best = int(score.argmax())
-        top = np.sort(score)
-        return seed, best + 1, int(top[-1] - top[-2] > 2.0)
+        self.fill({})
+
+    def fill(self, weights: dict[str, np.ndarray]) -> None:
+        k = len(self.classes)
+        self.rows = {term: i for i, term in enumerate([*self.seeds, *(t for t in weights if t not in self.seeds)])}
+        # per term its class as a seed, its learned weights, and whether it has any
+        self.table = np.zeros((len(self.rows) + 1, 2 * k + 1), np.float32)
+        for term, c in self.seeds.items():
+            self.table[self.rows[term], c] = 1
+        for term, values in weights.items():
+            self.table[self.rows[term], k : 2 * k] = values
+            self.table[self.rows[term], 2 * k] = 1
+
+    def votes(self, texts: list[str]) -> np.ndarray:
+        """Per sentence the votes of the seed and the learned lexicon, 0 for none given, else the class's number from 1; 1 if the latter is sure."""
+        if not texts:
+            return np.zeros((0, 3), np.int64)
+        k, known, nothing = len(self.classes), self.rows, len(self.rows)
+        places, starts = [], []
+        for text in texts:
+            starts.append(len(places))
+            places.append(nothing)  # so that no sentence is without a term
+            places += [known[t] for t in set(features(text)) if t in known]
+        sums = np.add.reduceat(self.table[places], starts, axis=0)
+        every = np.arange(len(texts))
+        seen = sums[:, :k]
+        order = np.sort(seen, axis=1)
+        seed = np.where((order[:, -1] > order[:, -2]) if k > 1 else order[:, -1] > 0, seen.argmax(axis=1) + 1, 0)
+        score = sums[:, k : 2 * k]
+        score[:, -1] += 0.7
+        best = score.argmax(axis=1)
+        top = score[every, best].copy()
+        score[every, best] = -np.inf
+        found = sums[:, 2 * k] > 0
+        return np.stack([seed, np.where(found, best + 1, 0), found & (top - score.max(axis=1) > 2.0)], axis=1).astype(np.int64)
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, options: Options) -> list:
@@ -155,7 +171,7 @@ def learn(sample: list, subjects: list[str], options: Options = Options()) -> Le
     used = np.flatnonzero(np.abs(weights).max(axis=1) > 0)
     if len(used) > options.most_terms:
         used = used[np.argsort(-np.bincount(columns_, minlength=v)[used], kind="stable")[: options.most_terms]]
-    lexicon.weights = {terms[i]: weights[i].astype(np.float32) for i in used.tolist()}
+    lexicon.fill({terms[i]: weights[i] for i in used.tolist()})
     return lexicon
 
 
@@ -209,16 +225,15 @@ def _vote_posts(lexicon, k: int):
             texts = batch.column("text")
             codes, tallies, advertising = [], [], []
             for start in range(0, len(texts), 64):
-                for text in texts[start : start + 64].to_pylist():
-                    own = sentences(text)
-                    votes = [words.votes(s) for s in own]
-                    tally = [0] * (k - 1)
-                    for _, learned, _ in votes:
-                        if 0 < learned < k:
-                            tally[learned - 1] += 1
-                    codes.append([(seed * (k + 1) + learned) * 2 + sure for seed, learned, sure in votes])
-                    tallies.append(tally)
-                    advertising.append(any(has_address(s) for s in own))
+                own = [sentences(text) for text in texts[start : start + 64].to_pylist()]
+                votes = words.votes([s for post in own for s in post])
+                at = 0
+                for post in own:
+                    cast = votes[at : at + len(post)]
+                    at += len(post)
+                    codes.append((cast[:, 0] * (k + 1) + cast[:, 1]) * 2 + cast[:, 2])
+                    tallies.append(np.bincount(cast[:, 1], minlength=k + 1)[1:k])
+                    advertising.append(any(has_address(s) for s in post))
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("doc_id", "thread", "board")),
