@@ -30,6 +30,7 @@ _WITHDRAWN = regex.compile(r"^\s*[\[<(](deleted|removed|withdrawn|gelöscht|entf
 _END = regex.compile(r"(?<=[.!?…。？！])[\"')\]»]*\s+")
 _SLIPPED = regex.compile(r"(?<=\p{Ll})\.(\p{Ll}) (?=\p{Lu})")
 _REFERRING = regex.compile(r"(^|\W)re [^:]{1,60}: no\.$", regex.IGNORECASE)
+_CHARACTER = regex.compile(r"[\p{L}\p{N}]")
 _STEP = regex.compile(r"(^|\W)step \d+:", regex.IGNORECASE)
 # Endings of web addresses, the reserved ones among them.
 _ENDINGS = "com|net|org|info|biz|shop|site|online|top|xyz|ru|cn|io|invalid|example|test"
@@ -54,7 +55,7 @@ def _redecode(match: regex.Match) -> str:
 def repaired(text: str) -> str:
     """The text with UTF-8 that was read as a one-byte code turned back, and entities resolved."""
     text = _WRONG.sub(_redecode, text)
-    for _ in range(3):
+    for _ in range(3 if "&" in text else 0):
         plain = html.unescape(text)
         if plain == text:
             break
@@ -111,12 +112,13 @@ def sentences(text: str | None) -> list[str]:
     out: list[str] = []
     for piece in pieces:
         piece = piece.strip()
-        if not regex.search(r"[\p{L}\p{N}]", piece):
+        if not _CHARACTER.search(piece):
             continue
-        joined = out and (
-            (_REFERRING.search(out[-1]) and regex.match(r"re ", piece, regex.IGNORECASE))
-            or (_STEP.search(out[-1]) and (_STEP.match(piece) or piece.lower().startswith("nothing ")))
-        )
+        joined = False
+        if out and out[-1].endswith(": no."):
+            joined = bool(_REFERRING.search(out[-1])) and piece[:3].lower() == "re "
+        elif out and ":" in out[-1] and _STEP.search(out[-1]):
+            joined = bool(_STEP.match(piece)) or piece.lower().startswith("nothing ")
         if joined:
             out[-1] += " " + piece
         else:
