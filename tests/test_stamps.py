@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import UTC, date, datetime
 from zoneinfo import ZoneInfo
 
@@ -49,6 +51,19 @@ def test_every_notation(spark):
     assert {r["i"]: r["t"] for r in got} == {i: t for i, (_, t) in enumerate(CASES)}
 
 
+def test_numbers_keep_every_digit(spark):
+    """Whole numbers of each unit, with odd milliseconds, before 1970 too, against whole-number arithmetic."""
+    rng = random.Random(7)
+    cases = []
+    for unit, low, high in ((1, -(10**10), 10**11 - 1), (1_000, 10**11, 10**14 - 1), (1_000_000, 10**14, 10**17 - 1), (1_000_000_000, 10**17, 4 * 10**18)):
+        cases += [(str(n), n * 1_000_000 // unit) for n in (rng.randint(low, high) for _ in range(500))]
+    cases += [("1706668798898000000", 1706668798898000), ("-1706668798898000001", -1706668798898001), ("1.706668798E18", 1706668798000000), ("9.9E18", None), ("1" * 30, None)]
+    cases = [c for c in cases if not re.fullmatch(r"\d{8}", c[0])]
+    frame = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(cases)], "i int, s string")
+    got = {r["i"]: r["t"] for r in frame.select("i", F.unix_micros(instant(F.col("s"))).alias("t")).collect()}
+    assert [(cases[i][0], t) for i, t in sorted(got.items())] == cases
+
+
 def test_policies(spark):
     frame = spark.createDataFrame([("2023-11-05 01:30:00",), ("2023-03-12 02:30:00",), ("2023-06-01 10:00:00",)], "s string")
     got = frame.select(F.date_format(instant(F.col("s"), ambiguous="later", nonexistent="null"), "HH:mm").alias("t")).collect()

@@ -43,6 +43,8 @@ MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT",
 #: A bare number counts from 1970; below the limit its unit is so many microseconds.
 EPOCH = r"^-?\d+(?:\.\d+)?(?:E\+?\d+)?$"
 EPOCH_UNITS = ((1e11, 1_000_000), (1e14, 1_000), (1e17, 1))
+#: A number that counts nanoseconds beyond this is no stamp.
+MOST_NANOS = 9.2e18
 
 
 def wall_to_utc(wall: Column, zone: Column, ambiguous: str = "earlier", nonexistent: str = "forward") -> Column:
@@ -128,7 +130,10 @@ def _from_number(s: Column) -> Column:
         # a whole number exactly, since a double doesn't hold all digits
         value = F.coalesce(whole * unit, F.round(number * unit).cast("long"))
         micros = F.when(size < limit, value) if micros is None else micros.when(size < limit, value)
-    return F.timestamp_micros(micros.otherwise(F.floor(whole / 1_000)))
+    # nanoseconds divided as whole numbers and rounded down; a double would move them by up to a millisecond
+    below = F.call_function("div", whole - F.pmod(whole, F.lit(1_000)), F.lit(1_000))
+    written_as_power = F.when(size < MOST_NANOS, F.floor(number / 1_000))
+    return F.timestamp_micros(micros.otherwise(F.coalesce(below, written_as_power)))
 
 
 def new_york_date(at: Column) -> Column:

@@ -271,10 +271,7 @@ def _flag_series(limits: Limits):
     """A mapInArrow function over rows sorted by series, day and delivery: the flagged rows and their kinds."""
 
     def flush(table: pa.Table) -> pa.RecordBatch:
-        names = table.column("series").combine_chunks()
-        if isinstance(names, pa.ChunkedArray):
-            names = names.chunk(0)
-        codes = names.dictionary_encode().indices.to_numpy()
+        codes = np.concatenate([c.indices.to_numpy() for c in table.column("series").dictionary_encode().unify_dictionaries().chunks])
         series = np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])])
         numbers = {k: table.column(k).to_numpy().astype(float) for k in _FIELDS}
         factor = numbers.pop("factor")

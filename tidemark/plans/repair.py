@@ -163,9 +163,11 @@ WITH body AS (
            CASE WHEN z IN ('Z', 'UTC', 'GMT') THEN 0 WHEN z = 'EST' THEN -300 WHEN z = 'EDT' THEN -240
                 WHEN z = 'CST' THEN -360 WHEN z = 'CDT' THEN -300 WHEN z = 'MST' THEN -420 WHEN z = 'MDT' THEN -360 WHEN z = 'PST' THEN -480 WHEN z = 'PDT' THEN -420
                 ELSE CAST(z[1] || '1' AS INTEGER) * (CAST(z[2:3] AS INTEGER) * 60 + CAST(right(z, 2) AS INTEGER)) END AS INTEGER)))
-         WHEN try_cast(s AS DOUBLE) IS NOT NULL AND NOT regexp_full_match(s, '\d{8}') THEN make_timestamptz(CAST(
-           CASE WHEN abs(CAST(s AS DOUBLE)) < 1e11 THEN round(CAST(s AS DOUBLE) * 1e6) WHEN abs(CAST(s AS DOUBLE)) < 1e14 THEN round(CAST(s AS DOUBLE) * 1e3)
-                WHEN abs(CAST(s AS DOUBLE)) < 1e17 THEN CAST(s AS DOUBLE) ELSE floor(CAST(s AS DOUBLE) / 1e3) END AS BIGINT))
+         WHEN try_cast(s AS DOUBLE) IS NOT NULL AND NOT regexp_full_match(s, '\d{8}') THEN make_timestamptz(
+           CASE WHEN abs(CAST(s AS DOUBLE)) < 1e11 THEN CAST(round(CAST(s AS DOUBLE) * 1e6) AS BIGINT)
+                WHEN abs(CAST(s AS DOUBLE)) < 1e14 THEN CAST(round(CAST(s AS DOUBLE) * 1e3) AS BIGINT)
+                WHEN abs(CAST(s AS DOUBLE)) < 1e17 THEN coalesce(try_cast(s AS BIGINT), CAST(CAST(s AS DOUBLE) AS BIGINT))
+                ELSE coalesce(try_cast(s AS BIGINT) // 1000, CAST(floor(CAST(s AS DOUBLE) / 1e3) AS BIGINT)) END)
     END AS moment, wall, z
   FROM walls
 ), settled AS (
