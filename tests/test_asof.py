@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof
+from tidemark.operators import asof, skew
 
 EVENTS = "event_id long, k string, at timestamp, version string, n_salts int, valid_from string"
 CHANGES = "k string, valid_from timestamp, valid_to timestamp, sector string, event string, n long"
@@ -63,3 +63,23 @@ def test_session_end(spark):
     days = spark.createDataFrame([(date(2026, 1, 5),), (date(2026, 7, 6),), (None,)], "d date")
     got = [r[0] for r in days.select(F.date_format(asof.session_end(F.col("d")), "HH:mm")).collect()]
     assert got == ["21:00", "20:00", None]
+
+
+def test_parts_keep_their_size_however_many_rows(spark, rows):
+    """More than a thousand times the limit in all: the parts don't grow with the total."""
+    frame = spark.range(60_000).selectExpr("CASE WHEN id < 45000 THEN 'A' WHEN id < 55000 THEN NULL ELSE concat('k', id) END AS k")
+    assert rows(skew.hot_keys(frame, "k", 20)) == [("A", 2250), (None, 500)]
+    events = spark.range(30_000).selectExpr("id AS event_id", "if(id % 3 = 0, 'B', 'A') AS k", "timestamp'2026-01-01 05:00:00' AS at")
+    changes = spark.createDataFrame([("A", t(0), None, "x"), ("B", t(6), None, "y")], "k string, valid_from timestamp, valid_to timestamp, sector string")
+    out = asof.as_known(events, F.col("at"), changes, "k", ["sector"], ["event_id"], hot_rows=20)
+    assert rows(out.groupBy("k", "sector").count()) == [("A", "x", 20_000), ("B", None, 10_000)]
+
+
+def test_lookup_of_hot_keys(spark, rows):
+    left = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 7}", "clash") for i in range(60)] + [(99, None, "c")], "id long, k string, x string")
+    side = spark.createDataFrame([("hot", 1, 7), ("k0", 2, 8), ("none", 3, 9), (None, 4, 9)], "k string, v int, id int")
+    want = sorted(((i, {"hot": 1, "k0": 2}.get(k)) for i, k, _ in map(tuple, left.collect())), key=repr)
+    for limits in ({}, {"most": 3, "hot_rows": 10}, {"most": 0, "hot_rows": 10}):
+        got = skew.lookup(left, side, "k", ["v"], **limits)
+        assert got.columns == ["id", "k", "x", "v"] and rows(got.select("id", "v")) == want
+    assert skew.lookup(left.limit(0), side, "k", ["v"]).count() == 0 and skew.lookup(left, side.limit(0), "k", ["v"]).where("v IS NULL").count() == 61

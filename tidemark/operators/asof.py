@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import HOT_ROWS, hot_keys
+from tidemark.operators.skew import HOT_ROWS, broadcast_if_small, hot_keys
 
 #: Order at equal times: a change first, so that an event at that instant sees it.
 CHANGE, EVENT = 0, 1
@@ -37,9 +37,9 @@ def as_known(
     Of several versions that start together the greatest row counts, so repeats of a version add nothing.
 
     Union of both, sorted by entity, time and priority; the last version is carried forward. No values
-    that became known later can reach an event. Entities with more rows than one task should sort are
-    split into parts by row number, and their versions (few, since they are deduplicated)
-    are repeated for each part.
+    that became known later can reach an event. Entities with more than ``hot_rows`` rows are
+    split into parts of that size by row number, and their versions (few, since they are deduplicated)
+    are repeated for each part. Without such entities nothing is numbered or joined.
     """
     version = F.struct("valid_from", "valid_to", *attributes)
     distinct = (
@@ -51,17 +51,21 @@ def as_known(
     latest = F.max("_at").over(Window.partitionBy(key)) == F.col("_at")
     distinct = distinct.withColumn("version", F.struct("version.*", latest.alias("is_latest")))
 
-    # numbered by the scan, so that even copies of one event spread
-    number = F.monotonically_increasing_id().alias("_number")
-    rows = events.select(F.col(key), at.alias("_at"), F.struct(*event_columns).alias("event"), number)
-    hot = F.broadcast(hot_keys(events, key, hot_rows))  # fewer than skew.MOST_HOT rows by construction
-    parts = F.coalesce(F.col("n_salts"), F.lit(1))
-    rows = rows.join(hot, rows[key].eqNullSafe(hot[key]), "left").select(
-        rows[key], "_at", "event", F.pmod("_number", parts).cast("int").alias("_part")
-    )
-    states = distinct.join(hot, distinct[key] == hot[key], "left").select(
-        distinct[key], "_at", "version", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
-    )
+    rows = events.select(F.col(key), at.alias("_at"), F.struct(*event_columns).alias("event"))
+    hot = hot_keys(events, key, hot_rows)
+    if hot.isEmpty():
+        rows, states = rows.withColumn("_part", F.lit(0)), distinct.withColumn("_part", F.lit(0))
+    else:
+        # numbered by the scan, so that even copies of one event spread
+        numbered = rows.withColumn("_number", F.monotonically_increasing_id())
+        hot = broadcast_if_small(hot)
+        parts = F.coalesce(F.col("n_salts"), F.lit(1))
+        rows = numbered.join(hot, numbered[key].eqNullSafe(hot[key]), "left").select(
+            numbered[key], "_at", "event", F.pmod("_number", parts).cast("int").alias("_part")
+        )
+        states = distinct.join(hot, distinct[key] == hot[key], "left").select(
+            distinct[key], "_at", "version", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")
+        )
     both = rows.withColumn("_kind", F.lit(EVENT)).unionByName(states.withColumn("_kind", F.lit(CHANGE)), allowMissingColumns=True)
 
     group = Window.partitionBy(key, "_part")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import folded
-from tidemark.session import staging_path
+from tidemark.session import file_system, staging_path
 
 #: Below this a file is small.
 SMALL_BYTES = 49_152
@@ -100,7 +100,7 @@ def compact(
     The source is never touched; a reader switches by taking the returned folder. Repeated rows are rows
     like any other. An empty source gives one empty file.
     """
-    fs, path = _file_system(spark, source)
+    fs, path = file_system(spark, source)
     summary = fs.getContentSummary(path)
     total, n_files = summary.getLength(), summary.getFileCount()
     plan = packing(n_files, total, spark.sparkContext.defaultParallelism, target, open_cost)
@@ -110,7 +110,7 @@ def compact(
     splits = rows.rdd.getNumPartitions()
     rows.coalesce(max(1, min(plan.files_out, splits))).write.parquet(staged)
     before, after = fingerprint(rows), fingerprint(own.read.parquet(staged))
-    out_fs, out_path = _file_system(spark, staged)
+    out_fs, out_path = file_system(spark, staged)
     if before != after:
         out_fs.delete(out_path, True)
         raise VerificationError(f"read {before}, wrote {after}")
@@ -118,7 +118,3 @@ def compact(
     figures = {"rows": after["n"], "files_in": n_files, "files_out": len(parts), "bytes_in": total, "splits": splits}
     return staged, figures | {"bytes_out": sum(f.getLen() for f in parts)}
 
-
-def _file_system(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
