@@ -1,6 +1,8 @@
+import tracemalloc
 from datetime import datetime, timedelta
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -45,6 +47,77 @@ def test_against_brute_force(spark, messages, bucket_days):
     assert run(spark, deliveries, bucket_days=bucket_days) == sorted(repeats)
 
 
+def _deliver(spark, store, deliveries):
+    data = [(i, k, datetime(2026, 1, 1) + timedelta(days=at)) for i, k, at in deliveries]
+    frame = spark.createDataFrame(data, "id long, k string, at timestamp")
+    return sorted(r[0] for r in store.deliver(frame, F.col("k"), F.col("at"), "id").collect())
+
+
+def test_a_later_delivery_reads_only_storage_that_may_know_it(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store = exactly_once.MessageStore(spark, path, shards=3, bucket_days=30)
+    first = [(d * 100 + i, f"m{d}-{i}", d) for d in (0, 40, 80, 120) for i in range(50)]
+    assert _deliver(spark, store, first) == [] and store.buckets_read == []
+    bucket = lambda day: (datetime(2026, 1, 1) + timedelta(days=day) - datetime(1970, 1, 1)) // timedelta(days=30)
+    again = exactly_once.MessageStore(spark, path)  # as another run finds it
+    assert (again.shards, again.bucket_days) == (3, 30)
+    assert _deliver(spark, again, [(900, "m40-7", 200), (901, "new", 201), (902, "new", 202), (903, "m40-8", 1)]) == [900, 902, 903]
+    assert again.buckets_read == sorted({bucket(40), bucket(202)})
+    read = again._read(again.log.entry(2)["folders"], exactly_once.NEW, again.buckets_read).inputFiles()
+    assert read and not any(f"bucket={bucket(d)}/" in f for f in read for d in (0, 80, 120))
+    assert _deliver(spark, again, [(910, "new", 300), (911, None, 300), (912, None, 300)]) == [910]
+    assert _deliver(spark, again, []) == []
+
+
+def test_false_alarms_are_kept_once_and_found_later(spark, tmp_path, monkeypatch):
+    """Filters of so few bits that most answers are false; the result must not change."""
+    monkeypatch.setattr(exactly_once, "BITS", 1)
+    monkeypatch.setattr(exactly_once, "PROBES", 1)
+    monkeypatch.setattr(exactly_once, "_screened", _small_filters(exactly_once._screened))
+    store = exactly_once.MessageStore(spark, str(tmp_path / "store"), shards=2, bucket_days=10)
+    seen, want = set(), []
+    for batch in range(3):
+        rows = [(batch * 1000 + i, f"k{(i * 7 + batch * 90) % 400}", batch * 15 + i // 20) for i in range(300)]
+        want = []
+        for i, k, _ in sorted(rows, key=lambda r: (r[2], r[0])):
+            if k in seen:
+                want.append(i)
+            seen.add(k)
+        assert _deliver(spark, store, rows) == sorted(want)
+
+
+def _small_filters(run):
+    def small(batches):
+        exactly_once.BITS, exactly_once.PROBES = 1, 1
+        yield from run(batches)
+
+    return small
+
+
+def test_a_failed_delivery_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    store = exactly_once.MessageStore(spark, str(tmp_path / "store"), shards=2)
+    monkeypatch.setattr(store, "_verify", lambda known, folder: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        _deliver(spark, store, [(1, "a", 1)])
+    monkeypatch.undo()
+    assert [p.name for p in (tmp_path / "store").iterdir()] == ["_log"]
+    assert _deliver(spark, store, [(1, "a", 1)]) == [] and _deliver(spark, store, [(1, "a", 1)]) == [1]
+
+
+def test_memory_of_a_shard():
+    """Two million identifiers: their filter and hashes, not the identifiers."""
+    screen = exactly_once.Screen()
+    screen.bucket = 1
+    rng = np.random.default_rng(2)
+    tracemalloc.start()
+    for _ in range(200):
+        screen.check(rng.integers(0, 2**63, 10_000).astype(np.uint64))
+    most = tracemalloc.get_traced_memory()[1]
+    number, _, bits = screen.close()
+    tracemalloc.stop()
+    assert number == 1 and len(bits) <= 8_388_608 and most < 64_000_000
+
+
 def test_the_filter_forgets_nothing_and_seldom_errs():
     rng = np.random.default_rng(1)
     inside, outside = rng.integers(0, 2**63, 20_000).astype(np.uint64), rng.integers(0, 2**63, 20_000).astype(np.uint64)

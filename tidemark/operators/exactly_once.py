@@ -1,28 +1,49 @@
-"""One copy of every message that was delivered at least once."""
+"""One copy of every message that was delivered at least once.
+
+A ``MessageStore`` remembers the identifiers of all messages accepted so far: on disk, by span of arrival
+(a bucket) and by hash (a shard), with a Bloom filter for each. A delivery is screened by the filters alone;
+an identifier that none of them knows is definitely new. The few that some filter may know are looked up
+exactly, in the storage of just the buckets whose filters answered.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Days of arrival that share one Bloom filter.
-BUCKET_DAYS = 30
-#: Bits and probes per identifier: about one false alarm in a hundred, each of which costs one exact look-up.
-BITS, PROBES = 10, 7
-#: Rows of a partition at most, on average: their identifiers are held in the task's memory.
-PARTITION_ROWS = 2_000_000
+from tidemark.operators.skew import broadcast_if_small
+from tidemark.session import file_system, staging_path
+from tidemark.sources.log import CommitLog
+
+#: Days of arrival that share a bucket.
+BUCKET_DAYS = 90
+#: Bits an identifier takes at least, and probes: at most one false alarm in some two thousand per filter.
+BITS, PROBES = 16, 8
+#: Rows of a delivery that one shard should screen, on average. A task holds its shard's filters (16 to 32 bits for
+#: every identifier accepted) and 8 bytes for each new one of the bucket now filling; identifiers themselves never.
+SHARD_ROWS = 2_000_000
+
+#: Kinds of rows: filters come first in a task; the others say what screening found.
+FILTER, ROW, NEW, SUSPECT, REPEAT = range(5)
+_COLUMNS = {
+    "kind": pa.int32(), "bucket": pa.int64(), "id": pa.int64(), "arrival": pa.int64(), "hash": pa.int64(),
+    "key": pa.string(), "hits": pa.list_(pa.int64()), "bits": pa.binary(),
+}
+_SCHEMA = "kind int, bucket long, id long, arrival long, hash long, key string, hits array<long>, bits binary"
 
 
 class Bloom:
     """A Bloom filter over 64-bit hashes, whole arrays at a time."""
 
-    def __init__(self, items: int):
-        self.size = max(64, 1 << int(np.ceil(np.log2(max(items, 1) * BITS))))
-        self.bits = np.zeros(self.size >> 3, np.uint8)
+    def __init__(self, items: int = 0, bits: bytes | None = None):
+        size = max(8192, 1 << int(np.ceil(np.log2(max(items, 1) * BITS))))
+        self.bits = np.zeros(size >> 3, np.uint8) if bits is None else np.frombuffer(bits, np.uint8)
+        self.size = len(self.bits) << 3
 
     def _places(self, hashes: np.ndarray, probe: int) -> np.ndarray:
         step = (hashes >> np.uint64(33)) | np.uint64(1)
@@ -46,57 +67,66 @@ class Bloom:
         return out
 
 
-class _Bucket:
-    """The identifiers first seen in one span of time: their filter, and the storage that answers exactly."""
+class Screen:
+    """One shard's filters by bucket, while the rows of a delivery pass in order of arrival."""
 
     def __init__(self) -> None:
+        self.filters: dict[int, list[Bloom]] = {}
+        self.bucket: int | None = None
         self.hashes: list[np.ndarray] = []
-        self.stored: dict[str, None] = {}
-        self.filter: Bloom | None = None
+        self.filling: list[Bloom] = []
+        self.room = 0
 
-    def close(self) -> None:
-        hashes = np.concatenate(self.hashes) if self.hashes else np.zeros(0, np.uint64)
-        self.filter = Bloom(len(hashes))
-        self.filter.add(hashes)
-        self.hashes = []
+    def know(self, bucket: int, bits: bytes) -> None:
+        self.filters.setdefault(bucket, []).append(Bloom(bits=bits))
 
+    def check(self, hashes: np.ndarray) -> tuple[np.ndarray, dict[int, list[int]]]:
+        """Rows of the open bucket that are definitely new, and of every other row the buckets that may know it."""
+        hits: dict[int, list[int]] = {}
+        repeated = np.ones(len(hashes), bool)
+        repeated[np.unique(hashes, return_index=True)[1]] = False  # the same hash further up
+        for bucket in self.filters.keys() | {self.bucket}:
+            known = repeated.copy() if bucket == self.bucket else np.zeros(len(hashes), bool)
+            for one in self.filters.get(bucket, []) + (self.filling if bucket == self.bucket else []):
+                known |= one.might_contain(hashes)
+            for row in np.flatnonzero(known).tolist():
+                hits.setdefault(row, []).append(bucket)
+        fresh = np.ones(len(hashes), bool)
+        fresh[list(hits)] = False
+        self._add(hashes[fresh])
+        return np.flatnonzero(fresh), hits
 
-def _seen_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ids of rows whose key occurred before, and of those without a key, which are known to be repeats.
+    def _add(self, hashes: np.ndarray) -> None:
+        """Into filters of growing size; ``close`` puts one of the right size in their place."""
+        self.hashes.append(hashes)
+        if len(hashes) > self.room:
+            self.room = max(1 << 14, len(hashes), 2 * sum(map(len, self.hashes)))
+            self.filling.append(Bloom(self.room))
+        if len(hashes):
+            self.filling[-1].add(hashes)
+        self.room -= len(hashes)
 
-    Rows of a partition come in order of arrival.
-    """
-    buckets: list[_Bucket] = []
-    current, number = _Bucket(), None
-    for batch in batches:
-        spans = batch.column("bucket").to_numpy()
-        hashes = batch.column("hash").to_numpy().view(np.uint64)
-        keys, ids = batch.column("key"), batch.column("id")
-        repeats: list[np.ndarray] = []
-        for start, end in _runs(spans):
-            if spans[start] != number:
-                if number is not None:
-                    current.close()
-                    buckets.append(current)
-                current, number = _Bucket(), spans[start]
-            part, text = hashes[start:end], keys[start:end].to_pylist()
-            suspects: dict[int, list[int]] = {}
-            for i, bucket in enumerate(buckets):
-                for row in np.flatnonzero(bucket.filter.might_contain(part)).tolist():
-                    suspects.setdefault(row, []).append(i)
-            again = {row for row, hits in suspects.items() if any(text[row] in buckets[i].stored for i in hits)}
-            fresh = []
-            for row, key in enumerate(text):  # within the open bucket the storage itself answers
-                if key is None or row in again or key in current.stored:
-                    again.add(row)
-                else:
-                    current.stored[key] = None
-                    fresh.append(row)
-            current.hashes.append(part[fresh])
-            repeats.append(start + np.array(sorted(again), np.int64))
-        found = np.concatenate(repeats) if repeats else np.zeros(0, np.int64)
-        if len(found):
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(found))], names=["id"])
+    def close(self) -> tuple[int, int, bytes] | None:
+        """Finish the open bucket; its number, one of its hashes and its filter, if anything new was in it."""
+        hashes = np.concatenate(self.hashes) if self.hashes else np.zeros(0, np.uint64)
+        bucket, self.bucket, self.hashes, self.filling, self.room = self.bucket, None, [], [], 0
+        if bucket is None or not len(hashes):
+            return None
+        whole = Bloom(len(hashes))
+        whole.add(hashes)
+        self.filters.setdefault(bucket, []).append(whole)
+        return bucket, hashes[:1].view(np.int64)[0].item(), whole.bits.tobytes()
+
+
+def _rows(n: int, **columns: object) -> pa.RecordBatch:
+    """A batch with all columns, those not given null."""
+    arrays = []
+    for name, kind in _COLUMNS.items():
+        value = columns.get(name)
+        if isinstance(value, int):
+            value = np.full(n, value)
+        arrays.append(pa.nulls(n, kind) if value is None else value if isinstance(value, pa.Array) else pa.array(value, kind))
+    return pa.RecordBatch.from_arrays([a.cast(k) for a, k in zip(arrays, _COLUMNS.values(), strict=True)], names=list(_COLUMNS))
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -107,6 +137,50 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip([0, *edges.tolist()], [*edges.tolist(), len(values)], strict=True)
 
 
+def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the filters say of each row of a shard; filters come first, then rows in order of arrival.
+
+    Results are gathered over batches, since what is found in one is little.
+    """
+    screen, held, n = Screen(), [], 0
+
+    def finished() -> Iterator[pa.RecordBatch]:
+        done = screen.close()
+        if done is not None:
+            yield _rows(1, kind=FILTER, bucket=done[0], hash=done[1], bits=[done[2]])
+
+    for batch in batches:
+        for start, end in _runs(batch.column("kind").to_numpy()):
+            part = batch.slice(start, end - start)
+            kind = part.column("kind")[0].as_py()
+            if kind == FILTER:
+                for bucket, bits in zip(part.column("bucket").to_pylist(), part.column("bits").to_pylist(), strict=True):
+                    screen.know(bucket, bits)
+                continue
+            if kind == REPEAT:
+                held.append(_rows(len(part), kind=REPEAT, bucket=-1, id=part.column("id")))
+                continue
+            for first, last in _runs(part.column("bucket").to_numpy()):
+                stretch = part.slice(first, last - first)
+                number = stretch.column("bucket")[0].as_py()
+                if number != screen.bucket:
+                    held += finished()
+                    screen.bucket = number
+                fresh, hits = screen.check(stretch.column("hash").to_numpy().view(np.uint64))
+                taken = stretch.take(pa.array(fresh))
+                held.append(_rows(len(fresh), kind=NEW, **{c: taken.column(c) for c in ("bucket", "id", "arrival", "hash", "key")}))
+                if hits:
+                    taken = stretch.take(pa.array(list(hits)))
+                    again = {c: taken.column(c) for c in ("id", "arrival", "hash", "key")}
+                    held.append(_rows(len(hits), kind=SUSPECT, bucket=-1, hits=list(hits.values()), **again))
+        if sum(map(len, held)) > 20_000:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    held += finished()
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _local_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows again, each marked if the same batch holds an earlier one of its key."""
     for batch in batches:
@@ -121,39 +195,130 @@ def _local_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(~kept)], names=[*batch.schema.names, "repeated"])
 
 
+class MessageStore:
+    """The identifiers accepted so far, in a folder all executors see.
+
+    ``<delivery>/kind=<kind>/bucket=<bucket>/part-*.parquet``, a file per shard, for every delivery the log lists. The number of
+    shards is set when the store is made and must suit all it will ever hold: 16 to 32 bits for each
+    identifier of a shard are read by one task.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, shards: int = 64, bucket_days: int = BUCKET_DAYS):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.log = CommitLog(spark, f"{self.path}/_log")
+        if not self.log.versions():
+            self.log.create()
+            self.log.publish(0, {"shards": shards, "bucket_days": bucket_days, "folders": []})
+        made = self.log.entry(0)
+        self.shards, self.bucket_days = made["shards"], made["bucket_days"]
+        #: What the last delivery did: buckets whose storage was read.
+        self.buckets_read: list[int] = []
+
+    def _read(self, folders: Sequence[str], kind: int, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """Staged rows of a kind, of some buckets only; None if there are none. Only folders that hold them are listed."""
+        paths = []
+        for folder in folders:
+            fs, at = file_system(self.spark, f"{folder}/kind={kind}")
+            if fs.exists(at):
+                held = [int(f.getPath().getName().removeprefix("bucket=")) for f in fs.listStatus(at)]
+                paths += [f"{folder}/kind={kind}/bucket={b}" for b in held if buckets is None or b in buckets]
+        if not paths:
+            return None
+        schema = ", ".join(c for c in _SCHEMA.split(", ") if c.split()[0] not in ("kind", "bucket"))
+        bucket = F.regexp_extract("_metadata.file_path", r"/bucket=(-?\d+)/", 1).cast("long")
+        return self.spark.read.schema(schema).parquet(*paths).withColumn("bucket", bucket)
+
+    def deliver(self, rows: DataFrame, key: Column, arrival: Column, identity: str) -> DataFrame:
+        """The ``identity`` of every row that is a copy of a message accepted before, in this delivery or an earlier one.
+
+        rows: one row per delivered copy; ``identity`` is a unique long column. key: a string expression that
+        is equal exactly for copies of one message; a null key is a message of its own, never a repeat.
+        arrival: a timestamp; within the delivery the earliest row, then the one with the smallest identity,
+        is kept (a null arrival counts as the latest). What an earlier delivery kept stays kept. Extra
+        columns don't matter; an empty delivery gives no rows.
+
+        1. Within each Arrow batch of the scan, every row of a message but the earliest is known to be a
+           repeat; it goes on without its key, so a message delivered any number of times sends at most one
+           row per batch to its shard.
+        2. Rows are partitioned by hash, one shard a task, behind the shard's filters, and sorted by arrival. A
+           row that no filter knows is new: its identifier is stored, its hash goes into the filter of the
+           bucket now filling. The others are suspects and take the numbers of the buckets that answered.
+        3. Only those buckets' storage is read, and suspects are looked up in it by hash and identifier.
+           One that isn't there was a false alarm: the earliest row of its message is kept and stored
+           in a bucket that answered, where it will be found from now on.
+        The delivery becomes part of the store when its log entry is published; a delivery that fails leaves
+        the store as it was and can be repeated. Of two at once one gets ConcurrentCommit.
+        """
+        version = self.log.versions()[-1]
+        known = self.log.entry(version)["folders"]
+        folder = f"{self.path}/{uuid.uuid4().hex}"
+        try:
+            self._screen(rows, key, arrival, identity, known, folder)
+            found, late = self._verify(known, folder)
+            self.log.publish(version + 1, {"folders": [*known, folder, *late]})
+        except Exception:
+            for made in (folder, f"{folder}-late"):
+                fs, at = file_system(self.spark, made)
+                fs.delete(at, True)
+            raise
+        return found.select(F.col("id").alias(identity))
+
+    def _screen(self, rows: DataFrame, key: Column, arrival: Column, identity: str, known: list[str], folder: str) -> None:
+        micros = F.coalesce(F.unix_micros(arrival), F.lit(2**62))
+        narrow = rows.where(key.isNotNull()).select(F.col(identity).cast("long").alias("id"), key.alias("key"), micros.alias("arrival"))
+        marked = narrow.mapInArrow(_local_repeats, "id long, key string, arrival long, repeated boolean")
+        settled = F.col("repeated")
+        routed = marked.select(
+            F.when(settled, F.lit(REPEAT)).otherwise(F.lit(ROW)).alias("kind"),
+            F.floor(F.col("arrival") / (self.bucket_days * 86_400_000_000)).cast("long").alias("bucket"),
+            "id",
+            "arrival",
+            F.xxhash64(F.when(settled, F.col("id").cast("string")).otherwise(F.col("key"))).alias("hash"),
+            F.when(~settled, F.col("key")).alias("key"),
+            F.lit(None).cast("array<long>").alias("hits"),
+            F.lit(None).cast("binary").alias("bits"),
+        )
+        filters = self._read(known, FILTER)
+        if filters is not None:  # routed by one of their own hashes, so each meets the rows of its shard
+            routed = routed.unionByName(filters.withColumn("kind", F.lit(FILTER)))
+        ordered = routed.repartition(self.shards, "hash").sortWithinPartitions("kind", "arrival", "id")
+        ordered.mapInArrow(_screened, _SCHEMA).write.partitionBy("kind", "bucket").parquet(folder)
+
+    def _verify(self, known: list[str], folder: str) -> tuple[DataFrame, list[str]]:
+        repeats, suspects = self._read([folder], REPEAT), self._read([folder], SUSPECT)
+        none = self.spark.createDataFrame([], "id long")
+        repeats = none if repeats is None else repeats.select("id")
+        self.buckets_read = []
+        if suspects is None:
+            return repeats, []
+        # as many as there are spans of time
+        answered = [r[0] for r in suspects.select(F.explode("hits").alias("b")).distinct().collect()]
+        self.buckets_read = sorted(answered)
+        stored = self._read([*known, folder], NEW, answered)
+        asked = suspects.groupBy("hash", "key").agg(F.min(F.struct("arrival", "id", F.array_min("hits").alias("bucket"))).alias("first"))
+        if stored is not None:
+            asked_for = broadcast_if_small(asked.select("hash", "key"))
+            there = stored.select("hash", "key").join(asked_for, ["hash", "key"], "left_semi")
+            asked = asked.join(there, ["hash", "key"], "left_anti")
+        alarms = asked.select(F.col("first.bucket").alias("bucket"), F.col("first.id").alias("id"), F.col("first.arrival").alias("arrival"), "hash", "key")
+        late = f"{folder}-late"
+        empty = {"hits": F.lit(None).cast("array<long>"), "bits": F.lit(None).cast("binary")}
+        alarms.withColumns({"kind": F.lit(NEW), **empty}).write.partitionBy("kind", "bucket").parquet(late)
+        kept = self._read([late], NEW)
+        if kept is None:
+            return repeats.union(suspects.select("id")), []
+        return repeats.union(suspects.select("id").join(broadcast_if_small(kept.select("id")), "id", "left_anti")), [late]
+
+
 def repeats(rows: DataFrame, key: Column, arrival: Column, identity: str, bucket_days: int = BUCKET_DAYS) -> DataFrame:
-    """The ``identity`` of every row that is not the first of its message.
-
-    rows: one row per delivery; ``identity`` is a unique long column. key: a string expression that is
-    equal exactly for deliveries of one message; a null key is a message of its own, never a repeat.
-    arrival: a timestamp; the earliest row, then the one with the smallest identity, is the copy to keep
-    (a null arrival counts as the latest).
-
-    Two steps. First, within each Arrow batch of the scan, every row of a message but the earliest is
-    known to be a repeat. Such rows are spread evenly, without their key, so a message delivered any number
-    of times sends at most one row per batch to its key's task. Second, rows are partitioned by the key's
-    hash and sorted by arrival; each task keeps a Bloom filter per span of ``bucket_days`` days. An
-    identifier that no earlier filter knows is new and is only stored; one that some filters know is
-    looked up exactly, in the storage of just those spans. Only ids, hashes and keys are shuffled.
+    """The ``identity`` of every row that is not the first of its message: one delivery to a store of its own.
+
+    The store has as many shards as the rows need; see ``MessageStore.deliver`` for everything else.
     """
-    micros = F.coalesce(F.unix_micros(arrival), F.lit(2**62))
-    narrow = rows.where(key.isNotNull()).select(F.col(identity).cast("long").alias("id"), key.alias("key"), micros.alias("arrival"))
-    marked = narrow.mapInArrow(_local_repeats, "id long, key string, arrival long, repeated boolean")
-    span = F.floor(F.col("arrival") / (bucket_days * 86_400_000_000)).cast("long")
-    settled = F.col("repeated")
-    routed = marked.select(
-        "id",
-        "arrival",
-        F.when(~settled, F.col("key")).alias("key"),
-        F.xxhash64(F.when(settled, F.col("id").cast("string")).otherwise(F.col("key"))).alias("hash"),
-        span.alias("bucket"),
-    )
-    wanted = -(-rows.count() // PARTITION_ROWS)  # answered from the files' footers or a narrow scan
-    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = routed.repartition(wanted, "hash") if wanted > usual else routed.repartition("hash")
-    ordered = parted.sortWithinPartitions("arrival", "id")
-    found = ordered.select("id", "key", "hash", "bucket").mapInArrow(_seen_before, "id long")
-    return found.select(F.col("id").alias(identity))
+    spark = rows.sparkSession
+    wanted = -(-rows.count() // SHARD_ROWS)  # answered from the files' footers or a narrow scan
+    shards = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")) if wanted > 1 else spark.sparkContext.defaultParallelism)
+    return MessageStore(spark, staging_path(spark, "messages"), shards, bucket_days).deliver(rows, key, arrival, identity)
 
 
 def message_key(response_id: Column, source: Column, without: list[Column]) -> Column:
