@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 import numpy as np
@@ -95,6 +96,64 @@ def test_stuck_runs(spark):
     assert kinds(spark, plain(readings)) == dict.fromkeys([21, 22, 23], STUCK)
 
 
+def _prices(values, **changed):
+    """Flagged sessions of one price field by the tests alone."""
+    values = np.array(values, float)
+    series = np.zeros(len(values), np.int64)
+    move = np.array([np.median(np.abs(np.diff(np.log(values))))])
+    return np.flatnonzero(spikes.price_tests(values, series, move, 1, replace(spikes.Limits(), **changed))[0]).tolist()
+
+
+def _shift_near_an_outlier():
+    close = [r[3] for r in series(60, seed=4)]
+    close = [c * (1.5 if i >= 30 else 1.0) for i, c in enumerate(close)]
+    close[31] *= 1.6  # one session into the new level
+    return close
+
+
+def test_the_outlier_test_decides(monkeypatch):
+    close = [r[3] for r in series(60, seed=1)]
+    close[20] *= 1.4
+    assert _prices(close) == [20]
+    assert _prices(close, outlier=1e9) == []
+    monkeypatch.setattr(spikes.Model, "outlier", lambda self, values, *rest: np.zeros(len(values)))
+    assert _prices(close) == []
+
+
+def test_the_level_shift_test_decides(monkeypatch):
+    close = _shift_near_an_outlier()
+    assert _prices(close) == [31]
+    monkeypatch.setattr(spikes.Model, "shift", lambda self, longest: np.zeros(len(self.x)))
+    assert _prices(close) != [31]
+
+
+def test_found_outliers_leave_the_fit_and_more_are_found(monkeypatch):
+    """The last one is hidden as long as the run before it makes the level."""
+    close = [r[3] for r in series(60, seed=2)]
+    for i in (20, 21, 22, 24):
+        close[i] *= 1.5
+    true, fitted = spikes.Model.__init__, []
+
+    def fit(self, x, own, clean, part, n):
+        fitted.append(np.flatnonzero(~clean).tolist())
+        true(self, x, own, clean, part, n)
+
+    monkeypatch.setattr(spikes.Model, "__init__", fit)
+    assert _prices(close) == [20, 21, 22, 24]
+    assert fitted == [[], [20, 21, 22], [20, 21, 22, 24]]
+
+
+def test_the_fit_resists_outliers():
+    rng = np.random.default_rng(5)
+    x = np.zeros(4000)
+    for i in range(1, len(x)):
+        x[i] = 0.7 * x[i - 1] + rng.normal(0, 0.02)
+    x[rng.choice(len(x), 80, replace=False)] += 3
+    one = np.zeros(len(x), np.int64)
+    model = spikes.Model(x + 5, one, np.ones(len(x), bool), one, 1)
+    assert abs(model.phi[0] - 0.7) < 0.08 and abs(model.sigma[0] - 0.02) < 0.004 and abs(model.centre[0] - 5) < 0.01
+
+
 def test_superseded_and_repeated_rows_are_judged(spark):
     readings = series()
     rows = plain(readings)

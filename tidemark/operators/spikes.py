@@ -8,8 +8,8 @@ A series is one security in one source. Three kinds of cases are kept apart:
   volume far above what is usual around it;
 - ``stuck``: one reading repeated over four or more successive delivered sessions, with volume.
 
-Excursions are found by a robust autoregression with iterated additive-outlier and level-shift tests.
-All tests are array operations over many series at once.
+Excursions are found by a robust autoregression with iterated additive-outlier and level-shift tests: fit, test
+the standardised residuals, take out what is found, fit again. All tests are array operations over many series at once.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import folded
 from tidemark.operators.copydiff import later_product, split_factors
+from tidemark.operators.skew import broadcast_if_small
 from tidemark.session import cut
 
 PRICES = ("close", "high", "low")
@@ -42,10 +43,13 @@ class Limits:
     stuck_sessions: int = 4  #: sessions from which a repeated reading is stuck
     level_window: int = 5  #: clean sessions on either side that make a level
     volume_window: int = 10  #: the same for volume
+    outlier: float = 3.0  #: standard deviations from which a residual makes an outlier or a shift possible
+    volume_outlier: float = 3.0  #: the same for the logarithm of volume
 
 
-#: Up to this many repeated readings their list is broadcast; beyond, it is joined by a shuffle.
-BROADCAST_ROWS = 100_000
+#: A series that hardly moves has residuals of at least this scale, as a share.
+LEAST_SIGMA = 1e-4
+
 
 
 def _segment_median(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
@@ -89,40 +93,91 @@ def _levels(values: np.ndarray, clean: np.ndarray, part: np.ndarray, width: int)
     return out[0], out[1]
 
 
-def _autoregression(x: np.ndarray, series: np.ndarray, clean: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per series the mean level and the coefficient of a first-order autoregression, by reweighted least squares."""
-    centre = _segment_median(np.where(clean, x, np.nan), series, n)
-    y = x - centre[series]
-    pair = np.flatnonzero((series[1:] == series[:-1]) & clean[1:] & clean[:-1])
-    prev, now, group = y[pair], y[pair + 1], series[pair]
-    phi = np.ones(n)
-    for _ in range(4):
-        error = now - phi[group] * prev
-        scale = 1.4826 * _segment_median(np.abs(error), group, n)
-        bound = 2 * np.maximum(scale[group], 1e-12)
-        weight = np.minimum(1.0, bound / np.maximum(np.abs(error), 1e-12))
-        weight[np.isnan(weight)] = 0
-        cross = np.bincount(group, weight * prev * now, n)
-        square = np.bincount(group, weight * prev * prev, n)
-        phi = np.clip(np.where(square > 0, cross / np.maximum(square, 1e-300), 1.0), 0.0, 1.0)
-    return centre, phi
-
-
-def _away(value: np.ndarray, level: np.ndarray, forecast: np.ndarray, move: np.ndarray, limits: Limits) -> np.ndarray:
-    """+1 or -1 where a price is away from a level, upwards or downwards; 0 else.
-
-    Away means by more than a share of the level and by more usual moves than allowed, both from the
-    level itself and from what the autoregression forecasts from it.
+class Model:
+    """A robust first-order autoregression of each series, around a level of its own in every part.
+
+    values: one per session, nan where there is none. clean: sessions to fit to. part: number of the stretch
+    between two lasting changes of level. Fitted by reweighted least squares to pairs of neighbouring clean
+    sessions; ``sigma`` is the robust scale of its residuals.
     """
-    far = np.abs(value - level) > np.maximum(limits.share, limits.moves * move) * level
-    surprising = np.abs(value - forecast) > limits.moves * move * forecast
-    side = np.where(far & surprising, np.sign(value - level), 0.0)
-    return np.where(np.isnan(level) | np.isnan(value), 0.0, side)
 
+    def __init__(self, x: np.ndarray, series: np.ndarray, clean: np.ndarray, part: np.ndarray, n: int):
+        self.x, self.series, self.part = x, series, part
+        first = part - part[0] if len(part) else part
+        self.centre = _segment_median(np.where(clean, x, np.nan), first, int(first[-1]) + 1 if len(first) else 0)[first]
+        y = x - self.centre
+        pair = np.flatnonzero((part[1:] == part[:-1]) & clean[1:] & clean[:-1])
+        prev, now, group = y[pair], y[pair + 1], series[pair]
+        phi, scale = np.ones(n), np.zeros(n)
+        for _ in range(4):
+            error = now - phi[group] * prev
+            scale = 1.4826 * _segment_median(np.abs(error), group, n)
+            bound = 2 * np.maximum(scale[group], 1e-12)
+            weight = np.minimum(1.0, bound / np.maximum(np.abs(error), 1e-12))
+            weight[np.isnan(weight)] = 0
+            cross = np.bincount(group, weight * prev * now, n)
+            square = np.bincount(group, weight * prev * prev, n)
+            phi = np.clip(np.where(square > 0, cross / np.maximum(square, 1e-300), 1.0), 0.0, 0.9999)
+        self.phi = phi[series]
+        self.sigma = np.maximum(np.nan_to_num(scale), LEAST_SIGMA)[series]
+        # the nearest clean session of the same part before and after each, and how far it is
+        places = np.arange(len(x))
+        before = np.maximum.accumulate(np.where(clean, places, -1)) if len(x) else places
+        after = np.minimum.accumulate(np.where(clean, places, len(x))[::-1])[::-1] if len(x) else places
+        self._last, self._next = np.concatenate([[-1], before[:-1]]), np.concatenate([after[1:], [len(x)]])
+
+    def _neighbour(self, at: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Deviation from the level at places ``at``, and their distance from ``of``; nan outside of the part."""
+        inside = (at >= 0) & (at < len(self.x))
+        place = np.where(inside, at, 0)
+        inside &= self.part[place] == self.part[of]
+        return np.where(inside, self.x[place] - self.centre[place], np.nan), np.abs(place - of).astype(float)
+
+    def outlier(self, values: np.ndarray, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Additive-outlier statistic of values in sessions ``at`` of the runs ``starts`` .. ``ends``.
+
+        The residual from what the model expects between the last clean session before the run and the
+        next one after it, over its standard deviation; nan without both.
+        """
+        left, a = self._neighbour(self._last[starts], at)
+        right, b = self._neighbour(self._next[ends], at)
+        phi, before, after = self.phi[at], self.phi[at] ** a, self.phi[at] ** b
+        whole = 1 - (before * after) ** 2
+        expected = (before * (1 - after**2) * left + after * (1 - before**2) * right) / whole
+        deviation = self.sigma[at] * np.sqrt((1 - before**2) * (1 - after**2) / whole / (1 - phi**2))
+        return (values - self.centre[at] - expected) / deviation
+
+    def surprise(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Standardised residual of values in sessions ``at``: the greater of the forecast's from before and that from after."""
+        out = np.full(len(at), -np.inf)
+        for places in (self._last[at], self._next[at]):
+            near, distance = self._neighbour(places, at)
+            phi, reach = self.phi[at], self.phi[at] ** distance
+            z = (values - self.centre[at] - reach * near) / (self.sigma[at] * np.sqrt((1 - reach**2) / (1 - phi**2)))
+            out = np.fmax(out, z)
+        return out
+
+    def shift(self, longest: int) -> np.ndarray:
+        """Level-shift statistic of every session: the least surprise among it and the ``longest`` next ones.
+
+        Each is compared with the forecast from the last clean session before the first of them; 0 if they
+        don't lie on one side, nan where the part is too short to tell.
+        """
+        places = np.arange(len(self.x))
+        left, a = self._neighbour(self._last, places)
+        out = None
+        for k in range(longest + 1):
+            value = _shifted(self.x - self.centre, self.part, k)
+            reach = self.phi ** (a + k)
+            z = (value - reach * left) / (self.sigma * np.sqrt((1 - reach**2) / (1 - self.phi**2)))
+            out = z if out is None else np.where(np.sign(z) == np.sign(out), np.sign(out) * np.minimum(np.abs(out), np.abs(z)), 0 * z * out)
+        return out
 
-def _forecast(level: np.ndarray, centre: np.ndarray, phi: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.exp(centre + phi * (np.log(level) - centre))
+
+def _away(value: np.ndarray, level: np.ndarray, move: np.ndarray, limits: Limits) -> np.ndarray:
+    """+1 or -1 where a price is away from a level by more than a share of it and by more usual moves than allowed; else 0."""
+    far = np.abs(value - level) > np.maximum(limits.share, limits.moves * move) * level
+    return np.where(np.isnan(level) | np.isnan(value), 0.0, np.where(far, np.sign(value - level), 0.0))
 
 
 def _shifted(values: np.ndarray, series: np.ndarray, by: int) -> np.ndarray:
@@ -137,57 +192,90 @@ def _shifted(values: np.ndarray, series: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def price_tests(value: np.ndarray, series: np.ndarray, move: np.ndarray, fit: tuple, limits: Limits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Additive-outlier and level-shift tests of one price field, one value per session.
+def _starts(series: np.ndarray) -> np.ndarray:
+    """Where a new series begins."""
+    out = np.ones(len(series), bool)
+    out[1:] = series[1:] != series[:-1]
+    return out
+
+
+def price_tests(value: np.ndarray, series: np.ndarray, move: np.ndarray, n: int, limits: Limits = Limits()) -> tuple[np.ndarray, np.ndarray, Model]:
+    """Excursions of one price field, one value per session: flagged sessions, clean ones, and the model at the end.
 
-    move: usual daily move of each series. Returns the sessions of excursions, the clean sessions and
-    the part of each session: a number that grows at each new series and each lasting change of level.
-    Repeated until nothing new is found: outliers leave the windows that make levels, and levels don't
-    reach across a shift. Both sets only grow, so it ends.
+    Repeated until nothing new is found: the autoregression is fitted to the sessions that are clean so far;
+    its residuals are tested for additive outliers, runs of up to ``longest`` sessions, and for level shifts,
+    which last longer. Both tests only raise candidates; one is taken if the distance from the levels
+    confirms it: an outlier is away from the level before and from that after, on the same side, and what
+    surrounds it is not; a shift is away from the level before for longer than any excursion. Outliers then
+    leave the fit and the windows that make levels, and neither reaches across a shift. Both sets only grow, so it ends.
     """
-    centre, phi = fit[0][series], fit[1][series]
     usual = move[series]
     valid = value > 0
-    flagged = np.zeros(len(value), bool)
-    shift = np.zeros(len(value), bool)
-    if len(value):
-        shift[0] = True
-        shift[1:] = series[1:] != series[:-1]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x = np.where(valid, np.log(value), np.nan)
+    places = np.arange(len(value))
+    flagged, shift = np.zeros(len(value), bool), _starts(series)
     while True:
         clean = valid & ~flagged
         part = np.cumsum(shift)
+        model = Model(x, series, clean, part, n)
         windows = _levels(value, clean, part, limits.level_window)
         level_b, level_a = _row_median(windows[0]), _row_median(windows[1])
-        fore_b, fore_a = _forecast(level_b, centre, phi), _forecast(level_a, centre, phi)
         new = np.zeros(len(value), bool)
-        # a run of sessions s .. s+length-1, judged by the level before s and that after its end
+        # a run of sessions s .. s+length-1, judged by the model and the level before s and those after its end
         for length in range(1, limits.longest + 1):
-            end_level, end_fore = _shifted(level_a, part, length - 1), _shifted(fore_a, part, length - 1)
-            sides = []
+            ends = np.minimum(places + length - 1, len(value) - 1)
+            end_level = _shifted(level_a, part, length - 1)
+            sides, candidate = [], np.ones(len(value), bool)
             for k in range(length):
-                v = _shifted(value, part, k)
-                sides += [_away(v, level_b, fore_b, usual, limits), _away(v, end_level, end_fore, usual, limits)]
+                at = np.minimum(places + k, len(value) - 1)
+                z = model.outlier(_shifted(x, part, k), at, places, ends)
+                side = _away(_shifted(value, part, k), level_b, usual, limits)
+                candidate &= np.abs(z) > limits.outlier
+                sides += [side, np.where(np.sign(z) == side, side, 0.0), _away(_shifted(value, part, k), end_level, usual, limits)]
             side = sides[0]
-            run = (side != 0) & np.logical_and.reduce([s == side for s in sides])
+            run = candidate & (side != 0) & np.logical_and.reduce([s == side for s in sides])
             # its neighbours must be back at the level, or the change is a longer one
-            for v, level, fore in ((_shifted(value, part, -1), level_b, fore_b), (_shifted(value, part, length), end_level, end_fore)):
-                run &= _away(v, level, fore, usual, limits) != side
+            for v, level in ((_shifted(value, part, -1), level_b), (_shifted(value, part, length), end_level)):
+                run &= _away(v, level, usual, limits) != side
             for k in range(length):
                 new[np.flatnonzero(run) + k] = True
         new &= ~flagged
-        # a level shift: this session and the next ones, longer than any excursion, all away on one side
-        held = _away(value, level_b, fore_b, usual, limits)
-        lasting = (held != 0) & clean & ~new
+        held = _away(value, level_b, usual, limits)
+        stat = model.shift(limits.longest)
+        lasting = (np.abs(stat) > limits.outlier) & (np.sign(stat) == held) & (held != 0) & clean & ~new
         for k in range(1, limits.longest + 1):
-            lasting &= _away(_shifted(value, part, k), level_b, fore_b, usual, limits) == held
-        lasting &= _away(_shifted(value, part, -1), level_b, fore_b, usual, limits) != held
+            lasting &= _away(_shifted(value, part, k), level_b, usual, limits) == held
+        lasting &= _away(_shifted(value, part, -1), level_b, usual, limits) != held
         lasting &= ~shift
         if not new.any() and not lasting.any():
-            return flagged, clean, part
+            return flagged, clean, model
         flagged |= new
         shift |= lasting
 
 
+def volume_tests(value: np.ndarray, series: np.ndarray, n: int, limits: Limits = Limits()) -> tuple[np.ndarray, np.ndarray, Model]:
+    """Sessions of too high a volume (nan where none was traded), what is usual around each, and the model at the end.
+
+    As ``price_tests``: surprises of the autoregression of the logarithm are candidates, the ratio to
+    what is usual around them confirms them, and they leave the fit before the next round. A run of any length is
+    found session by session.
+    """
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x = np.log(value)
+    high = np.zeros(len(value), bool)
+    while True:
+        clean = ~np.isnan(value) & ~high
+        windows = _levels(np.where(np.isnan(value), 0.0, value), clean, series, limits.volume_window)
+        around = _row_median(np.concatenate(windows, axis=1))
+        model = Model(x, series, clean, series, n)
+        with np.errstate(invalid="ignore"):
+            new = (model.surprise(x, np.arange(len(value))) > limits.volume_outlier) & (value > limits.volume_times * around) & ~high
+        if not new.any():
+            return high, around, model
+        high |= new
+
+
 def detect(series: np.ndarray, day: np.ndarray, readings: dict[str, np.ndarray], factor: np.ndarray, limits: Limits = Limits()) -> np.ndarray:
     """Kinds of cases of each row as a bit set.
 
@@ -211,7 +299,7 @@ def detect(series: np.ndarray, day: np.ndarray, readings: dict[str, np.ndarray],
     n = int(own[-1]) + 1
     adjusted = {k: readings[k] / factor for k in PRICES}
 
-    # the usual move and the autoregression of the close
+    # the usual move of the close
     fine = ~impossible[last]
     with np.errstate(divide="ignore", invalid="ignore"):
         x = np.where(fine, np.log(adjusted["close"][last]), np.nan)
@@ -219,34 +307,27 @@ def detect(series: np.ndarray, day: np.ndarray, readings: dict[str, np.ndarray],
     step[own[1:] != own[:-1]] = np.nan
     move = _segment_median(step, own[1:], n) if len(own) > 1 else np.full(n, np.nan)
     move = np.where(np.isnan(move), 0.0, move)
-    fit = _autoregression(x, own, fine & ~np.isnan(x), n)
 
-    usual, centre, phi = move[series], fit[0][series], fit[1][series]
+    old = np.flatnonzero(~last)  # rows that a later delivery superseded, judged in its place
+    at = session[old]
     for k in PRICES:
         per_session = np.where(adjusted[k][last] > 0, adjusted[k][last], np.nan)
-        flagged, clean, part = price_tests(per_session, own, move, fit, limits)
+        flagged, clean, model = price_tests(per_session, own, move, n, limits)
         out[last] |= np.where(flagged, EXCURSION, 0).astype(np.int32)
-        # rows that a later delivery superseded, against the clean levels around their session
-        windows = _levels(np.where(np.isnan(per_session), 0.0, per_session), clean, part, limits.level_window)
-        levels = [_row_median(w)[session] for w in windows]
-        sides = [_away(adjusted[k], lv, _forecast(lv, centre, phi), usual, limits) for lv in levels]
-        old = ~last & (sides[0] != 0) & (sides[0] == sides[1])
-        out[old] |= EXCURSION
+        value = adjusted[k][old]
+        windows = _levels(np.where(np.isnan(per_session), 0.0, per_session), clean, model.part, limits.level_window)
+        sides = [_away(value, _row_median(w)[at], move[own[at]], limits) for w in windows]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            z = model.outlier(np.log(value), at, at, at)
+        out[old[(sides[0] != 0) & (sides[0] == sides[1]) & (np.sign(z) == sides[0]) & (np.abs(z) > limits.outlier)]] |= EXCURSION
 
     traded = v * factor
-    per_session = np.where(traded[last] > 0, traded[last], np.nan)
-    high = np.zeros(len(own), bool)
-    while True:
-        clean = ~np.isnan(per_session) & ~high
-        windows = _levels(np.where(np.isnan(per_session), 0.0, per_session), clean, own, limits.volume_window)
-        around = _row_median(np.concatenate(windows, axis=1))
-        with np.errstate(invalid="ignore"):
-            new = (per_session > limits.volume_times * around) & ~high
-        if not new.any():
-            break
-        high |= new
-    with np.errstate(invalid="ignore"):
-        out[traded > limits.volume_times * around[session]] |= EXCURSION
+    high, around, model = volume_tests(np.where(traded[last] > 0, traded[last], np.nan), own, n, limits)
+    out[last] |= np.where(high, EXCURSION, 0).astype(np.int32)
+    value = traded[old]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        z = model.surprise(np.log(value), at)
+        out[old[(value > limits.volume_times * around[at]) & (z > limits.volume_outlier)]] |= EXCURSION
 
     # stuck: the same reading in successive sessions of a series, whether or not a later delivery differs
     columns = [readings[k] for k in READING]
@@ -345,7 +426,6 @@ def flag_bars(bars: DataFrame, actions: DataFrame, unadjusted: tuple[str, ...] =
 
     alone = flagged.where("n = 1").select("bar_id", "kinds")
     several = flagged.where("n > 1").select(*[F.col(f"reading.{k}").alias(f"r_{k}") for k in keys], "kinds")
-    if several.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        several = F.broadcast(several)
+    several = broadcast_if_small(several)
     same = [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys]
     return alone.union(rows.join(several, same).select("bar_id", "kinds"))

@@ -23,6 +23,19 @@ def p1_kinds(spark: SparkSession, folder: str) -> DataFrame:
     return flagged.select("bar_id", *[(F.col("kinds").bitwiseAND(bit) != 0).alias(name) for name, bit in kinds.items()])
 
 
+def _p1_kind(spark: SparkSession, folder: str, bit: int) -> DataFrame:
+    flagged = spikes.flag_bars(table(spark, folder, "daily_bars"), table(spark, folder, "corporate_actions"))
+    return flagged.where(F.col("kinds").bitwiseAND(bit) != 0).select("bar_id")
+
+
+def p1_impossible(spark: SparkSession, folder: str) -> DataFrame:
+    return _p1_kind(spark, folder, spikes.IMPOSSIBLE)
+
+
+def p1_stuck(spark: SparkSession, folder: str) -> DataFrame:
+    return _p1_kind(spark, folder, spikes.STUCK)
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Small files that the compaction took up: counted in the verified result, not in the input."""
     path, _ = compaction.compact(spark, f"{folder}/bronze.parquet")
@@ -125,7 +138,7 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (p1_found, p1_kinds, p2_found, p2_compacted, p3_found, p4_found, p5_found, p6_found, p6_attributes, p7_found)
+    f.__name__: f for f in (p1_found, p1_kinds, p1_impossible, p1_stuck, p2_found, p2_compacted, p3_found, p4_found, p5_found, p6_found, p6_attributes, p7_found)
 }
 
 _P3_STAMPS = r"""
@@ -198,6 +211,28 @@ WITH ends AS (
 """
 
 SQL = {
+    "p1_impossible": """
+        SELECT bar_id FROM daily_bars
+        WHERE coalesce(open <= 0, false) OR coalesce(high <= 0, false) OR coalesce(low <= 0, false) OR coalesce(close <= 0, false) OR coalesce(volume < 0, false)
+          OR coalesce(high < low, false) OR coalesce(close > high, false) OR coalesce(close < low, false)
+    """,
+    "p1_stuck": """
+        WITH placed AS (
+          SELECT bar_id, security_id, lower(trim(source)) AS side, open, high, low, close, volume,
+            dense_rank() OVER (PARTITION BY security_id, lower(trim(source)) ORDER BY trade_date) AS session
+          FROM daily_bars WHERE security_id IS NOT NULL AND source IS NOT NULL AND trade_date IS NOT NULL
+        ), readings AS (
+          SELECT DISTINCT security_id, side, open, high, low, close, volume, session FROM placed
+          WHERE volume > 0 AND open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL
+        ), runs AS (
+          SELECT *, session - row_number() OVER (PARTITION BY security_id, side, open, high, low, close, volume ORDER BY session) AS run FROM readings
+        ), stuck AS (
+          SELECT security_id, side, open, high, low, close, volume, min(session) AS first, max(session) AS last FROM runs
+          GROUP BY security_id, side, open, high, low, close, volume, run HAVING count(*) >= 4
+        )
+        SELECT bar_id FROM placed p JOIN stuck s USING (security_id, side, open, high, low, close, volume)
+        WHERE p.session > s.first AND p.session <= s.last
+    """,
     "p2_found": """
         SELECT DISTINCT file_id FROM bronze_files
         WHERE lower(trim(status)) = 'committed' AND size_bytes < 49152 AND file_id IN (SELECT file_id FROM bronze)
