@@ -47,6 +47,8 @@ class Limits:
     volume_outlier: float = 3.0  #: the same for the logarithm of volume
 
 
+#: Rounds of reweighting in one fit.
+ROUNDS = 5
 #: A series that hardly moves has residuals of at least this scale, as a share.
 LEAST_SIGMA = 1e-4
 
@@ -108,12 +110,15 @@ class Model:
         y = x - self.centre
         pair = np.flatnonzero((part[1:] == part[:-1]) & clean[1:] & clean[:-1])
         prev, now, group = y[pair], y[pair + 1], series[pair]
+        # a pair counts less the further its first session is from the level (leverage), and the further the second from its forecast
+        usual = 3 * 1.4826 * _segment_median(np.abs(prev), group, n)
+        leverage = np.minimum(1.0, np.maximum(usual[group], 1e-12) / np.maximum(np.abs(prev), 1e-12))
         phi, scale = np.ones(n), np.zeros(n)
-        for _ in range(4):
+        for _ in range(ROUNDS):
             error = now - phi[group] * prev
             scale = 1.4826 * _segment_median(np.abs(error), group, n)
             bound = 2 * np.maximum(scale[group], 1e-12)
-            weight = np.minimum(1.0, bound / np.maximum(np.abs(error), 1e-12))
+            weight = leverage * np.minimum(1.0, bound / np.maximum(np.abs(error), 1e-12))
             weight[np.isnan(weight)] = 0
             cross = np.bincount(group, weight * prev * now, n)
             square = np.bincount(group, weight * prev * prev, n)
@@ -241,16 +246,18 @@ def price_tests(value: np.ndarray, series: np.ndarray, move: np.ndarray, n: int,
             for k in range(length):
                 new[np.flatnonzero(run) + k] = True
         new &= ~flagged
+        if new.any():  # outliers first: levels that still hold them can look like a shift
+            flagged |= new
+            continue
         held = _away(value, level_b, usual, limits)
         stat = model.shift(limits.longest)
-        lasting = (np.abs(stat) > limits.outlier) & (np.sign(stat) == held) & (held != 0) & clean & ~new
+        lasting = (np.abs(stat) > limits.outlier) & (np.sign(stat) == held) & (held != 0) & clean
         for k in range(1, limits.longest + 1):
             lasting &= _away(_shifted(value, part, k), level_b, usual, limits) == held
         lasting &= _away(_shifted(value, part, -1), level_b, usual, limits) != held
         lasting &= ~shift
-        if not new.any() and not lasting.any():
+        if not lasting.any():
             return flagged, clean, model
-        flagged |= new
         shift |= lasting
 
 
