@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import compaction
 
@@ -11,7 +12,7 @@ def _write(spark, path, n, files):
 def test_same_rows_in_fewer_files(spark, tmp_path):
     source = str(tmp_path / "source")
     _write(spark, source, 5000, 40)
-    out, figures = compaction.compact(spark, source, destination=str(tmp_path / "out"))
+    out, figures, _ = compaction.compact(spark, source, destination=str(tmp_path / "out"))
     assert figures["files_in"] >= 40 and figures["files_out"] == 1 and figures["rows"] == 5000
     a, b = spark.read.parquet(source), spark.read.parquet(out)
     assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
@@ -23,21 +24,40 @@ def test_repeated_rows_stay_and_empty_datasets_work(spark, tmp_path):
     assert compaction.compact(spark, twice)[1]["rows"] == 2
     none = str(tmp_path / "none")
     spark.sql("SELECT 1 AS x WHERE false").write.parquet(none)
-    out, figures = compaction.compact(spark, none)
+    out, figures, _ = compaction.compact(spark, none)
     assert figures["rows"] == 0 and spark.read.parquet(out).columns == ["x"]
 
 
-def test_a_lost_or_altered_row_is_noticed(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("counted_by", [(), ("file_id",)])
+def test_a_lost_or_altered_row_is_noticed(spark, tmp_path, monkeypatch, counted_by):
     source = str(tmp_path / "source")
     _write(spark, source, 100, 3)
-    true = compaction.fingerprint
-    calls = iter([0, 1])
-    monkeypatch.setattr(compaction, "fingerprint", lambda rows: true(rows.where("id <> 5") if next(calls) else rows))
+    true, calls = compaction._sums, []
+
+    def sums(rows):
+        calls.append(rows)
+        if len(calls) == 1:
+            return true(rows)
+        # over what was written, as if one row held something else
+        hashed = F.xxhash64(F.expr("if(id = 5, 6, id)"))
+        return [true(rows)[0], F.sum(hashed.cast("decimal(38,0)")).alias("high"), F.sum(F.lit(1).cast("decimal(38,0)")).alias("low")]
+
+    monkeypatch.setattr(compaction, "_sums", sums)
     with pytest.raises(compaction.VerificationError):
-        compaction.compact(spark, source, destination=str(tmp_path / "bad"))
+        compaction.compact(spark, source, destination=str(tmp_path / "bad"), counted_by=counted_by)
     assert not (tmp_path / "bad").exists()
 
 
+def test_thousands_of_files(spark, tmp_path):
+    """As many files as ids; counts come from what was written."""
+    source = str(tmp_path / "source")
+    spark.range(9000).selectExpr("id", "id % 2000 AS file", "id % 2000 AS file_id", "concat('x', id) AS t").repartition(4, "file").write.partitionBy("file").parquet(source)
+    out, figures, counts = compaction.compact(spark, source, destination=str(tmp_path / "out"), counted_by=["file_id"])
+    assert figures["files_in"] > 2000 and figures["files_out"] == 1 and figures["splits"] < 100
+    assert counts.count() == 2000 and counts.where("n_rows = if(file_id < 1000, 5, 4)").count() == 2000
+    assert spark.read.parquet(out).exceptAll(spark.read.parquet(source)).count() == 0
+
+
 def test_fingerprint(spark):
     one = spark.sql("SELECT 1 AS a, cast(null AS int) AS b")
     other = spark.sql("SELECT cast(null AS int) AS a, 1 AS b")
@@ -57,8 +77,8 @@ def test_which_files_are_small(spark):
         [(1, " Committed ", 10, 1), (2, "removed", 10, 1), (3, "committed", 60_000, 1), (4, "COMMITTED", None, 1), (5, None, 10, 1), (6, "committed", 10, 1), (1, "committed", 10, 1), (None, "committed", 1, 1)],
         "file_id long, status string, size_bytes long, n_rows long",
     )
-    rows = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (3, "x"), (4, "x"), (5, "x"), (None, "x")], "file_id long, n_rows string")
-    listed = compaction.file_list(files, compaction.rows_per_file(rows))
+    counts = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (4, 1), (5, 1), (None, 1)], "file_id long, n_rows long")
+    listed = compaction.file_list(files, counts)
     assert sorted(r["file_id"] for r in compaction.small_files(listed).collect()) == [1]
     assert {r["file_id"]: r["n_rows"] for r in listed.collect()} == {1: 2, 3: 1, 4: 1}
 

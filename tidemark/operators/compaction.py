@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import folded
-from tidemark.session import file_system, staging_path
+from tidemark.session import cut, file_system, staging_path
 
 #: Below this a file is small.
 SMALL_BYTES = 49_152
@@ -29,7 +30,7 @@ class Packing:
 
 
 def file_list(files: DataFrame, rows_per_file: DataFrame) -> DataFrame:
-    """``file_id, size_bytes, n_rows`` of the files a dataset consists of.
+    """``file_id, size_bytes, n_rows`` of the files a dataset consists of; rows_per_file: ``file_id, n_rows``.
 
     Those are the files that committed (case and outer blanks of ``status`` don't matter) and hold at
     least one row; one row per file, the largest size of a file listed more than once.
@@ -38,10 +39,6 @@ def file_list(files: DataFrame, rows_per_file: DataFrame) -> DataFrame:
     return committed.join(rows_per_file, "file_id").select("file_id", "size_bytes", "n_rows")
 
 
-def rows_per_file(rows: DataFrame) -> DataFrame:
-    return rows.where("file_id IS NOT NULL").groupBy("file_id").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def small_files(listed: DataFrame, small_bytes: int = SMALL_BYTES) -> DataFrame:
     return listed.where(F.col("size_bytes") < small_bytes)
 
@@ -70,14 +67,18 @@ def _tuned(spark: SparkSession, plan: Packing) -> SparkSession:
     return own
 
 
-def fingerprint(rows: DataFrame) -> dict:
-    """Number of rows and a sum over them that any lost, added or changed row alters, whatever the order."""
+def _sums(rows: DataFrame) -> list[Column]:
+    """Number of rows and sums over a hash of them that any lost, added or changed row alters, whatever the order."""
     columns = [F.col(f"`{c}`") for c in sorted(rows.columns)]
     # the hash passes over nulls, so where they are is hashed too
     hashed = F.xxhash64(*columns, F.array(*[c.isNull() for c in columns]))
     # summed in halves as decimals, which don't overflow
-    sums = [F.sum(F.shiftright(hashed, 32).cast("decimal(38,0)")).alias("high"), F.sum(hashed.bitwiseAND(0xFFFFFFFF).cast("decimal(38,0)")).alias("low")]
-    return rows.agg(F.count(F.lit(1)).alias("n"), *sums).first().asDict()
+    halves = {"high": F.shiftright(hashed, 32), "low": hashed.bitwiseAND(0xFFFFFFFF)}
+    return [F.count(F.lit(1)).alias("n"), *[F.sum(h.cast("decimal(38,0)")).alias(name) for name, h in halves.items()]]
+
+
+def fingerprint(rows: DataFrame) -> dict:
+    return rows.agg(*_sums(rows)).first().asDict()
 
 
 class VerificationError(RuntimeError):
@@ -90,15 +91,19 @@ def compact(
     target: int = TARGET_BYTES,
     open_cost: int = OPEN_COST,
     destination: str | None = None,
-) -> tuple[str, dict]:
-    """Rewrite the Parquet dataset at ``source`` as few well-sized files; returns their folder and figures.
-
-    Combined splits are read with settings from
-    ``packing``, joined by coalesce without a shuffle, written to a staging folder (in the shared folder,
-    unless ``destination`` is given) and then read back: the number of rows and an order-free hash over
-    all columns must equal the source's, else VerificationError is raised and the staged files are removed.
-    The source is never touched; a reader switches by taking the returned folder. Repeated rows are rows
-    like any other. An empty source gives one empty file.
+    counted_by: Sequence[str] = (),
+) -> tuple[str, dict, DataFrame | None]:
+    """Rewrite the Parquet dataset at ``source`` as few well-sized files; returns their folder, figures and counts.
+
+    Two passes. Combined splits are read with settings from ``packing``, joined by coalesce without a shuffle and
+    written to a staging folder; the number of rows and an order-free hash over all columns are taken of the
+    rows on their way. Then what was written is read back, and its number and hash must be the same, else
+    VerificationError is raised and the staged files are removed. That pass also counts rows by
+    ``counted_by`` (None without): as many counts as there are values.
+
+    Without ``destination`` the copy is staged and goes with the application; with it, it stays, and a reader switches
+    by taking that folder. The source is never touched. Repeated rows are rows like any other. An empty
+    source gives one empty file.
     """
     fs, path = file_system(spark, source)
     summary = fs.getContentSummary(path)
@@ -108,13 +113,23 @@ def compact(
     rows = own.read.parquet(source)
     staged = destination or staging_path(spark, "compacted")
     splits = rows.rdd.getNumPartitions()
-    rows.coalesce(max(1, min(plan.files_out, splits))).write.parquet(staged)
-    before, after = fingerprint(rows), fingerprint(own.read.parquet(staged))
+    seen = Observation()
+    rows.observe(seen, *_sums(rows)).coalesce(max(1, min(plan.files_out, splits))).write.parquet(staged)
+    before = seen.get
+
+    written = own.read.parquet(staged)
+    counts = None
+    if counted_by:
+        per_value = cut(written.groupBy(*counted_by).agg(*_sums(written)))
+        counts = per_value.select(*counted_by, F.col("n").alias("n_rows"))
+        # a group's sums add up to those of the whole
+        after = per_value.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("high", "low")]).first().asDict()
+    else:
+        after = fingerprint(written)
     out_fs, out_path = file_system(spark, staged)
     if before != after:
         out_fs.delete(out_path, True)
         raise VerificationError(f"read {before}, wrote {after}")
     parts = [f for f in out_fs.listStatus(out_path) if f.getPath().getName().endswith(".parquet")]
     figures = {"rows": after["n"], "files_in": n_files, "files_out": len(parts), "bytes_in": total, "splits": splits}
-    return staged, figures | {"bytes_out": sum(f.getLen() for f in parts)}
-
+    return staged, figures | {"bytes_out": sum(f.getLen() for f in parts)}, counts

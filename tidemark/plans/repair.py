@@ -38,14 +38,13 @@ def p1_stuck(spark: SparkSession, folder: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Small files that the compaction took up: counted in the verified result, not in the input."""
-    path, _ = compaction.compact(spark, f"{folder}/bronze.parquet")
-    held = compaction.rows_per_file(spark.read.parquet(path))
+    _, _, held = compaction.compact(spark, f"{folder}/bronze.parquet", counted_by=["file_id"])
     return compaction.small_files(compaction.file_list(table(spark, folder, "bronze_files"), held)).select("file_id")
 
 
 def p2_compacted(spark: SparkSession, folder: str) -> DataFrame:
     """Figures of the compacted dataset by source and run, as read back from the few files."""
-    path, _ = compaction.compact(spark, f"{folder}/bronze.parquet")
+    path, _, _ = compaction.compact(spark, f"{folder}/bronze.parquet")
     return (
         spark.read.parquet(path)
         .groupBy("source", "run_id")
