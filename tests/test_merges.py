@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import latest_wins, scd2
 from tidemark.sources import schemas
 from tidemark.sources.schemas import fields, schema
-from tidemark.sources.versioned import ConcurrentCommit, ConstraintViolation, SchemaMismatch, VersionedTable, find_tables
+from tidemark.sources.versioned import PART, ConcurrentCommit, ConstraintViolation, SchemaMismatch, VersionedTable, find_tables
 
 ATTRIBUTES = schema(fields("k string"), fields(optional="ticker string"))
 
@@ -32,23 +32,27 @@ def merge(spark, table, n, **rows):
     return scd2.merge_snapshot(table, snap(spark, **rows), "k", day(n))
 
 
-def test_scd2_scenarios(spark, master, rows):
-    assert merge(spark, master, 1, A="MMC", B="X") == {"new": 2, "changed": 0, "unchanged": 0}
-    assert merge(spark, master, 2, A="MMC", B="X") == {"new": 0, "changed": 0, "unchanged": 2}
+def test_scd2_from_opening_to_reopening(spark, master, rows):
+    """A lab moves rooms and back; another one is missing from a snapshot and later loses its room."""
+    assert merge(spark, master, 2, lab1="north", lab2="cellar") == {"new": 2, "changed": 0, "unchanged": 0}
+    assert merge(spark, master, 5, lab1="north", lab2="cellar") == {"new": 0, "changed": 0, "unchanged": 2}
     assert master.versions() == [0, 1]  # nothing changed, nothing published
-    assert merge(spark, master, 3, A="MRSH") == {"new": 0, "changed": 1, "unchanged": 0}  # B is absent and stays open
-    assert merge(spark, master, 4, A="MMC", B=None) == {"new": 0, "changed": 2, "unchanged": 0}
+    assert merge(spark, master, 8, lab1="attic", lab3="annex") == {"new": 1, "changed": 1, "unchanged": 0}
+    assert merge(spark, master, 13, lab1="north", lab2=None) == {"new": 0, "changed": 2, "unchanged": 0}
     history = master.read()
-    versions = [(r["k"], r["ticker"], r["valid_from"], r["valid_to"], r["is_current"]) for r in history.orderBy("k", "valid_from").collect()]
-    assert versions == [
-        ("A", "MMC", day(1), day(3), False), ("A", "MRSH", day(3), day(4), False), ("A", "MMC", day(4), None, True),
-        ("B", "X", day(1), day(4), False), ("B", None, day(4), None, True),
-    ]
-    read = lambda at: sorted((r["k"], r["ticker"]) for r in scd2.as_of(history, at).collect())
-    assert read("2026-09-30") == []
-    assert read(day(3)) == [("A", "MRSH"), ("B", "X")]  # the boundary belongs to the new version
+    held = {}
+    for r in history.orderBy("valid_from").collect():
+        held.setdefault(r["k"], []).append((r["ticker"], r["valid_from"].day, r["valid_to"] and r["valid_to"].day, r["is_current"]))
+    assert held == {
+        "lab1": [("north", 2, 8, False), ("attic", 8, 13, False), ("north", 13, None, True)],
+        "lab2": [("cellar", 2, 13, False), (None, 13, None, True)],
+        "lab3": [("annex", 8, None, True)],
+    }
+    room = lambda at: dict(scd2.as_of(history, at).select("k", "ticker").collect())
+    assert room("2026-10-01") == {} and room("2026-10-07 23:59:59") == {"lab1": "north", "lab2": "cellar"}
+    assert room(day(8)) == {"lab1": "attic", "lab2": "cellar", "lab3": "annex"}  # the boundary belongs to the new version
     assert scd2.broken_keys(history, "k").count() == 0
-    assert rows(scd2.changed_keys(history, "k")) == [("A", 3), ("B", 2)]
+    assert rows(scd2.changed_keys(history, "k")) == [("lab1", 3), ("lab2", 2)]
 
 
 def test_scd2_refusals_leave_nothing_behind(spark, master):
@@ -80,12 +84,16 @@ def test_scd2_fold_is_the_replay(spark, snapshots):
     assert sorted(map(tuple, state.select(columns).collect()), key=repr) == sorted(map(tuple, replayed.select(columns).collect()), key=repr)
 
 
-BARS = "k string, v string, source_ingested_at timestamp, source_run_id string"
+UPDATES = "k string, v string, source_ingested_at timestamp, source_run_id string"
 STATE = schema(fields("k string"), fields(optional="v string"), schemas.LINEAGE_FIELDS)
 
 
+def arrived(spark, *rows):
+    return spark.createDataFrame([(k, v, day(n), f"load-{n:02d}") for k, v, n in rows], UPDATES)
+
+
 def deliveries(spark, *rows):
-    return spark.createDataFrame([("NVDA", v, day(n), f"run_{n}") for v, n in rows], BARS)
+    return arrived(spark, *[("gauge", v, n) for v, n in rows])
 
 
 def fold(spark, *batches, strict=False):
@@ -97,17 +105,21 @@ def fold(spark, *batches, strict=False):
     return state.first(), counts
 
 
-def test_latest_wins_scenarios(spark):
-    row, counts = fold(spark, [("238.90", 5)])
-    assert (row["v"], row["revision_count"], row["first_seen_at"], row["updated_at"], counts) == ("238.90", 0, day(5), day(5), [["inserted"]])
-    row, counts = fold(spark, [("238.90", 5)], [("238.90", 6)])
-    assert (row["revision_count"], row["source_ingested_at"], counts[1]) == (0, day(5), [None])
-    row, counts = fold(spark, [("238.90", 5)], [("238.95", 6)])
-    assert (row["v"], row["revision_count"], row["first_seen_at"], row["updated_at"], counts[1]) == ("238.95", 1, day(5), day(6), ["revised"])
-    row, _ = fold(spark, [("238.95", 6)], [("238.90", 5)])
-    assert (row["v"], row["revision_count"]) == ("238.95", 0)
-    row, counts = fold(spark, [("238.90", 5), ("238.95", 6)])
-    assert (row["v"], row["revision_count"], counts) == ("238.95", 0, [["inserted"]])
+@pytest.mark.parametrize(
+    ("batches", "value", "revisions", "seen", "updated", "last_change"),
+    [
+        ([[("7 bar", 3)]], "7 bar", 0, 3, 3, "inserted"),
+        ([[("7 bar", 3)], [("7 bar", 9)]], "7 bar", 0, 3, 3, None),  # read again, the same
+        ([[("7 bar", 3)], [("6 bar", 9)]], "6 bar", 1, 3, 9, "revised"),
+        ([[("6 bar", 9)], [("7 bar", 3)]], "6 bar", 0, 9, 9, None),  # came late
+        ([[("7 bar", 3), ("6 bar", 9), ("5 bar", 4)]], "6 bar", 0, 9, 9, "inserted"),  # one batch, the newest counts
+        ([[("7 bar", 3)], [("6 bar", 9)], [("7 bar", 11)], [("7 bar", 12)]], "7 bar", 2, 3, 11, None),
+    ],
+)
+def test_latest_wins(spark, batches, value, revisions, seen, updated, last_change):
+    row, counts = fold(spark, *batches)
+    assert (row["v"], row["revision_count"], row["first_seen_at"], row["updated_at"]) == (value, revisions, day(seen), day(updated))
+    assert counts[-1] == [last_change]
 
 
 def test_the_refetch_hole_and_its_strict_closing(spark):
@@ -135,6 +147,67 @@ def test_merge_latest_commits_only_changes(spark, tmp_path):
     assert table.read(1).first()["v"] == "a" and table.read().first()["v"] == "b"
 
 
+def _folders(table):
+    return {p: tuple(f) for p, f in table.entry()["parts"].items()}
+
+
+def test_merges_rewrite_only_parts_that_change(spark, tmp_path, rows):
+    table = VersionedTable(spark, str(tmp_path / "ticks"))
+    table.ensure(STATE, layout="substring(k, 1, 1)")
+    assert latest_wins.merge_latest(table, arrived(spark, ("a1", "p", 1), ("a2", "q", 1), ("b1", "p", 1), ("c/1", "p", 1)), ["k"], ["v"]) == {"inserted": 4, "revised": 0}
+    before = _folders(table)
+    assert sorted(before) == ["a", "b", "c"]
+    # a is met without a change, b changes, d is new, c isn't met
+    assert latest_wins.merge_latest(table, arrived(spark, ("a1", "p", 2), ("b1", "z", 2), ("d1", "p", 2)), ["k"], ["v"]) == {"inserted": 1, "revised": 1}
+    after = _folders(table)
+    assert after["a"] == before["a"] and after["c"] == before["c"] and after["b"] != before["b"] and sorted(after) == ["a", "b", "c", "d"]
+    assert rows(table.read().select("k", "v")) == [("a1", "p"), ("a2", "q"), ("b1", "z"), ("c/1", "p"), ("d1", "p")]
+    assert rows(table.read(1).select("k", "v")) == [("a1", "p"), ("a2", "q"), ("b1", "p"), ("c/1", "p")]
+    assert table.history().where("version = 2").first()["metrics"]["parts"] == 2
+    read = table._rows(table.entry(), ["b"]).inputFiles()
+    assert len(read) == 1 and f"{PART}=b" in read[0]
+
+
+def test_scd2_parts(spark, tmp_path, rows):
+    table = VersionedTable(spark, str(tmp_path / "dim"))
+    scd2.ensure_table(table, ATTRIBUTES, "k", 8)
+    scd2.merge_snapshot(table, snap(spark, **{f"k{i}": "x" for i in range(40)}), "k", day(1))
+    before = _folders(table)
+    assert len(before) > 4
+    assert scd2.merge_snapshot(table, snap(spark, **{f"k{i}": "y" if i == 7 else "x" for i in range(40)}), "k", day(2)) == {"new": 0, "changed": 1, "unchanged": 39}
+    after = _folders(table)
+    assert sum(after[p] != before[p] for p in before) == 1 and table.read().count() == 41 and scd2.broken_keys(table.read(), "k").count() == 0
+
+
+def test_a_merge_over_a_version_published_meanwhile_fails(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.ensure(STATE)
+    latest_wins.merge_latest(table, arrived(spark, ("a", "p", 1)), ["k"], ["v"])
+    batch = latest_wins.batch_of(arrived(spark, ("b", "p", 2)), ["k"], ["v"])
+
+    def slow(state):
+        latest_wins.merge_latest(table, arrived(spark, ("c", "p", 2)), ["k"], ["v"])
+        return latest_wins.transition(state, arrived(spark, ("b", "p", 2)), ["k"], ["v"])
+
+    with pytest.raises(ConcurrentCommit):
+        table.merge(batch, slow, "MERGE LATEST", ("inserted",), ("inserted",))
+    assert sorted(r["k"] for r in table.read().collect()) == ["a", "c"]  # nothing is lost
+
+
+def test_files_follow_from_their_size(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.ensure(schema(fields("k string")))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        table.append(spark.range(200_000).repartition(40).selectExpr("sha1(string(id)) AS k"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert table.detail().first()["num_files"] > 4
+    table.append(spark.range(100).repartition(40).selectExpr("string(id) AS k"))
+    held = table.entry()["parts"]["all"]
+    assert len([f for f in (tmp_path / "t" / held[-1]).iterdir() if f.suffix == ".parquet"]) == 1
+
+
 def test_table_contract_history_and_catalog(spark, tmp_path, rows):
     table = VersionedTable(spark, str(tmp_path / "lake/bronze/b"))
     declared = schema(fields("k string, page int"), fields(optional="day date"))
@@ -160,5 +233,5 @@ def test_table_contract_history_and_catalog(spark, tmp_path, rows):
         table.read(9)
     entry = table.entry()
     with pytest.raises(ConcurrentCommit):
-        table._publish(2, entry)
+        table.log.publish(2, entry)
     assert table.versions() == [0, 1, 2]

@@ -30,6 +30,11 @@ def with_value_hash(rows: DataFrame, values: Sequence[str]) -> DataFrame:
     return rows.withColumn("value_hash", row_hash(values))
 
 
+def batch_of(updates: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The newest delivery of each key, with its value hash."""
+    return latest_per_key(with_value_hash(updates, values), keys, [*keys, *values, "value_hash", *LINEAGE])
+
+
 def transition(state: DataFrame, updates: DataFrame, keys: Sequence[str], values: Sequence[str], strict: bool = False) -> DataFrame:
     """The state after a batch of deliveries, with ``_change``: inserted, revised or null.
 
@@ -39,7 +44,10 @@ def transition(state: DataFrame, updates: DataFrame, keys: Sequence[str], values
     the batch the newest counts. strict: a newer delivery with the same hash advances the lineage, so that a
     late delivery from before it can't win afterwards; it counts no revision.
     """
-    batch = latest_per_key(with_value_hash(updates, values), keys, [*keys, *values, "value_hash", *LINEAGE])
+    return _apply(state, batch_of(updates, keys, values), keys, values, strict)
+
+
+def _apply(state: DataFrame, batch: DataFrame, keys: Sequence[str], values: Sequence[str], strict: bool) -> DataFrame:
     s, t = batch.select(F.struct("*").alias("s")), state.select(F.struct("*").alias("t"))
     both = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
     held, given = F.col("t").isNotNull(), F.col("s").isNotNull()
@@ -63,15 +71,14 @@ def transition(state: DataFrame, updates: DataFrame, keys: Sequence[str], values
 
 
 def merge_latest(table: VersionedTable, updates: DataFrame, keys: Sequence[str], values: Sequence[str], strict: bool = False) -> dict[str, int]:
-    """Merge deliveries into a table as one commit; counts of inserted and revised keys. No change, no commit."""
-
-    def apply(state: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-        after = cut(transition(state, updates, keys, values, strict))
-        found = {r["_change"]: r["n"] for r in after.where("_change IS NOT NULL").groupBy("_change").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return after.drop("_change"), {k: found.get(k, 0) for k in ("inserted", "revised")}
+    """Merge deliveries into a table as one commit; counts of inserted and revised keys. No change, no commit.
 
-    # under strict an advanced lineage alone is published with the next change
-    return table.merge(apply, "MERGE LATEST", lambda c: not (c["inserted"] or c["revised"]))
+    Only parts of the table that a delivered key falls into are read, only those with a change written. Under
+    strict an advanced lineage alone is published with its part's next change.
+    """
+    batch = cut(batch_of(updates, keys, values))
+    changes = ("inserted", "revised")
+    return table.merge(batch, lambda state: _apply(state, batch, keys, values, strict), "MERGE LATEST", changes, changes)
 
 
 def replay(deliveries: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -66,26 +66,24 @@ def duplicated_keys(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def ensure_table(table: VersionedTable, attributes: T.StructType) -> bool:
-    return table.ensure(with_scd2_fields(attributes), CONSTRAINTS)
+def ensure_table(table: VersionedTable, attributes: T.StructType, key: str | None = None, parts: int = 1) -> bool:
+    """The table with the fields and the check of this kind, in parts by the hash of ``key`` if it is given."""
+    layout = None if key is None else f"pmod(hash(`{key}`), {parts})"
+    return table.ensure(with_scd2_fields(attributes), CONSTRAINTS, layout)
 
 
 def merge_snapshot(table: VersionedTable, snapshot: DataFrame, key: str, observed_at: datetime) -> dict[str, int]:
     """Merge a snapshot into a table as one commit; counts of new, changed and unchanged keys.
 
-    Without a change nothing is published. A time at or before an open version that changes breaks the
-    table's check, and repeated keys raise ValueError; then nothing is written.
+    Without a change nothing is published, and parts of the table without one aren't written. A time at or before an
+    open version that changes breaks the table's check, and repeated keys raise ValueError; then nothing is written.
     """
+    snapshot = cut(snapshot)
     twice = duplicated_keys(snapshot, key).limit(5).collect()
     if twice:
-        raise ValueError(f"the snapshot repeats {key}: {[r[key] for r in twice]}")
-
-    def apply(history: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-        after = cut(transition(history, snapshot, key, F.lit(observed_at).cast("timestamp")))
-        found = {r["_change"]: r["n"] for r in after.where("_change IS NOT NULL").groupBy("_change").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return after.drop("_change"), {k: found.get(k, 0) for k in ("new", "changed", "unchanged")}
-
-    return table.merge(apply, "MERGE SCD2", lambda c: not (c["new"] or c["changed"]))
+        raise ValueError(f"the snapshot repeats {key}, for instance: {[r[key] for r in twice]}")
+    at = F.lit(observed_at).cast("timestamp")
+    return table.merge(snapshot, lambda history: transition(history, snapshot, key, at), "MERGE SCD2", ("new", "changed", "unchanged"), ("new", "changed"))
 
 
 def current(history: DataFrame) -> DataFrame:

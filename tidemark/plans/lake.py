@@ -319,7 +319,7 @@ def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
     """The stream of deliveries merged into a table of bars."""
     root = staging_path(spark, "stream")
     held = VersionedTable(spark, f"{root}/bars")
-    held.ensure(schemas.BARS)
+    held.ensure(schemas.BARS, layout=schemas.BAR_LAYOUT.format(shares=1))
     usable = deliveries.read_stream(spark, f"{folder}/bronze.parquet")
     deliveries.follow(usable, held, f"{root}/state")
     return held.read().select(*schemas.BAR_KEYS, "close", "volume", "value_hash", "source_run_id")

@@ -96,7 +96,7 @@ def spread(df, least_bytes: int = SPREAD_BYTES):
     number of files, so no job is run for it. A large input is left as its scan splits it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= cores * least_bytes or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)

@@ -57,6 +57,8 @@ BARS = schema(
     fields(optional="vwap vwap, trade_count long"),
     LINEAGE_FIELDS,
 )
+#: Parts of a table of bars: a month's bars lie together, so a day's delivery meets one part for each share of the securities.
+BAR_LAYOUT = "concat(date_format(trade_date, 'yyyyMM'), '-', pmod(hash(security_id), {shares}))"
 ACTION_KEYS = ("security_id", "ex_date", "action_type", "source")
 ACTIONS = schema(
     fields("security_id string, ex_date date, action_type string, source string"),

@@ -1,24 +1,33 @@
 """A Parquet table with a commit log: declared schema, constraints, atomic commits, history, time travel.
 
-Layout: ``data/<uuid>/part-*.parquet`` and ``_log/<version>.json``. A commit first writes its data under a
-fresh folder, then publishes the next version's log entry by an operation that fails if the entry
-exists; so readers see a whole version or none of it, and of two writers at once one gets
-ConcurrentCommit. The log is read and written through Hadoop's file system, like the data.
+Layout: ``data/<uuid>/part__=<part>/*.parquet`` and ``_log/<version>.json``. Which part a row lies in is an SQL
+expression over its keys, fixed when the table is made. A log entry lists the folders of every part; a commit
+writes new folders for the parts it changes and takes over the others' as they are. It becomes visible by an
+operation that fails if the version exists; so readers see a whole version or none of it, and of two
+writers at once one gets ConcurrentCommit.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import cut, file_system
+from tidemark.sources.log import CommitLog, ConcurrentCommit
 from tidemark.sources.schemas import drift
 
+__all__ = ["ConcurrentCommit", "ConstraintViolation", "SchemaMismatch", "VersionedTable", "find_tables"]
+
+PART = "part__"
+#: The only part of a table without a layout.
+WHOLE = "all"
+
 
 class SchemaMismatch(ValueError):
     """The table has a different schema."""
@@ -28,63 +37,28 @@ class ConstraintViolation(ValueError):
     """Rows to be committed break the table's contract; nothing was published."""
 
 
-class ConcurrentCommit(RuntimeError):
-    """Another writer published this version first."""
-
-
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self._hadoop = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._hadoop(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.log = CommitLog(spark, f"{self.path}/_log")
 
     # the log
 
-    def _at(self, *parts: str):
-        return self._hadoop("/".join([self.path, *parts]))
-
     def exists(self) -> bool:
-        return self._fs.exists(self._at("_log"))
+        return self.log.exists()
 
     def versions(self) -> list[int]:
-        if not self.exists():
-            return []
-        names = [f.getPath().getName() for f in self._fs.listStatus(self._at("_log"))]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+        return self.log.versions()
 
     def entry(self, version: int | None = None) -> dict:
-        """The log entry of a version, the latest unless given."""
+        """The log entry of a version, the latest unless given; its number is under ``version``."""
         held = self.versions()
         if not held:
             raise FileNotFoundError(f"no table at {self.path}")
         version = held[-1] if version is None else version
         if version not in held:
             raise ValueError(f"{self.path} has no version {version}")
-        stream = self._fs.open(self._at("_log", f"{version:020d}.json"))
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def _publish(self, version: int, content: dict) -> None:
-        """Make an entry visible, whole, under its version; fails if another one is there."""
-        jvm = self.spark._jvm
-        draft, final = self._at("_log", f".{uuid.uuid4().hex}"), self._at("_log", f"{version:020d}.json")
-        out = self._fs.create(draft, False)
-        out.write(bytearray(json.dumps(content).encode()))
-        out.close()
-        options = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        no_overwriting = self.spark.sparkContext._gateway.new_array(options, 1)
-        no_overwriting[0] = options.NONE
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        try:
-            context.rename(draft, final, no_overwriting)
-        except Exception as error:  # py4j wraps what Java throws
-            self._fs.delete(draft, False)
-            if "FileAlreadyExists" in str(getattr(error, "java_exception", error)):
-                raise ConcurrentCommit(f"version {version} of {self.path} is already there") from error
-            raise
+        return self.log.entry(version) | {"version": version}
 
     # reading
 
@@ -93,29 +67,32 @@ class VersionedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, the latest unless given."""
-        entry = self.entry(version)
+        return self._rows(self.entry(version))
+
+    def _rows(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
-        if not entry["folders"]:
+        folders = [f for part, held in entry["parts"].items() if parts is None or part in parts for f in held]
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in entry["folders"]])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
 
     def history(self) -> DataFrame:
-        """version, timestamp, operation and metrics of every commit."""
-        rows = []
-        for v in self.versions():
-            e = self.entry(v)
-            rows.append((v, datetime.fromisoformat(e["timestamp"]), e["operation"], {k: int(n) for k, n in e["metrics"].items()}))
-        return self.spark.createDataFrame(rows, "version long, timestamp timestamp, operation string, metrics map<string,long>")
+        """version, timestamp, operation and metrics of every commit, read by Spark from the log itself."""
+        kind = "timestamp timestamp, operation string, metrics map<string,long>"
+        entries = self.spark.read.schema(kind).json(self.log.folder)
+        version = F.regexp_extract("_metadata.file_name", r"^(\d+)\.json$", 1).cast("long")
+        return entries.select(version.alias("version"), "timestamp", "operation", "metrics")
 
     def detail(self) -> DataFrame:
         """Number and size of the latest version's files."""
         entry, files, size = self.entry(), 0, 0
-        for folder in entry["folders"]:
-            for f in self._fs.listStatus(self._at(folder)):
+        for folder in (f for held in entry["parts"].values() for f in held):
+            fs, at = file_system(self.spark, f"{self.path}/{folder}")
+            for f in fs.listStatus(at):
                 if f.getPath().getName().endswith(".parquet"):
                     files, size = files + 1, size + f.getLen()
-        row = (self.path, self.versions()[-1], files, size, datetime.fromisoformat(entry["timestamp"]))
-        return self.spark.createDataFrame([row], "path string, version long, num_files long, size_in_bytes long, last_modified timestamp")
+        row = (self.path, entry["version"], len(entry["parts"]), files, size, datetime.fromisoformat(entry["timestamp"]))
+        return self.spark.createDataFrame([row], "path string, version long, num_parts long, num_files long, size_in_bytes long, last_modified timestamp")
 
     def properties(self) -> DataFrame:
         """The table's constraints as key and value."""
@@ -124,82 +101,112 @@ class VersionedTable:
 
     # writing
 
-    def ensure(self, schema: T.StructType, constraints: Mapping[str, str] | None = None) -> bool:
-        """Create the table in one commit with its schema and constraints; False if it is there already.
+    def ensure(self, schema: T.StructType, constraints: Mapping[str, str] | None = None, layout: str | None = None) -> bool:
+        """Create the table in one commit with its schema, constraints and layout; False if it is there already.
 
-        An existing table with other columns or types raises SchemaMismatch.
+        layout: an SQL expression that gives a row's part; it may use only columns that no merge changes for a
+        key, so the keys themselves. An existing table with other columns or types raises SchemaMismatch.
         """
         if self.exists() and self.versions():
             held = drift(schema, self.schema())
             if held:
                 raise SchemaMismatch(f"{self.path} has a different schema: {held}")
             return False
-        self._fs.mkdirs(self._at("_log"))
-        self._publish(0, self._entry(schema, dict(constraints or {}), [], "CREATE", {}))
+        self.log.create()
+        self.log.publish(0, self._entry({"schema": schema.json(), "constraints": dict(constraints or {}), "layout": layout}, {}, "CREATE", {}))
         return True
 
     @staticmethod
-    def _entry(schema: T.StructType, constraints: dict, folders: list[str], operation: str, metrics: dict) -> dict:
+    def _entry(kept: Mapping, parts: Mapping[str, Sequence[str]], operation: str, metrics: Mapping[str, int]) -> dict:
         now = datetime.now(UTC).replace(tzinfo=None).isoformat()
-        return {"timestamp": now, "schema": schema.json(), "constraints": constraints, "folders": folders, "operation": operation, "metrics": metrics}
+        return {"timestamp": now, **{k: kept[k] for k in ("schema", "constraints", "layout")}, "parts": dict(parts), "operation": operation, "metrics": dict(metrics)}
+
+    @staticmethod
+    def _part(entry: dict) -> Column:
+        """A row's part, as a name that can stand in a path."""
+        if entry["layout"] is None:
+            return F.lit(WHOLE)
+        return F.regexp_replace(F.coalesce(F.expr(entry["layout"]).cast("string"), F.lit("null")), "[^A-Za-z0-9.-]", "-")
+
+    def _stage(self, rows: DataFrame, entry: dict) -> tuple[dict[str, str], int, str]:
+        """Write rows to folders nothing refers to yet, by part, and check what was written.
 
-    def _stage(self, rows: DataFrame, schema: T.StructType, constraints: Mapping[str, str], files: int | None) -> tuple[str, int]:
-        """Write rows to a folder nothing refers to yet, and check what was written."""
+        Rebalanced on the way: adaptive execution joins small partitions and splits large ones, so the number of
+        files follows from their size, and what computes the rows keeps its own parallelism.
+        """
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
         held = drift(schema, rows.schema)
         if held:
             raise SchemaMismatch(f"rows for {self.path}: {held}")
         folder = f"data/{uuid.uuid4().hex}"
-        ordered = rows.select(*[f.name for f in schema.fields])
-        (ordered if files is None else ordered.coalesce(files)).write.parquet(f"{self.path}/{folder}")
-        written = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+        placed = rows.select(*[f.name for f in schema.fields], self._part(entry).alias(PART))
+        placed.hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(f"{self.path}/{folder}")
+        fs, at = file_system(self.spark, f"{self.path}/{folder}")
+        names = [f.getPath().getName() for f in fs.listStatus(at) if f.isDirectory()]
+        parts = {n.removeprefix(f"{PART}="): f"{folder}/{n}" for n in names}
+        written = self._rows(entry | {"parts": {p: [f] for p, f in parts.items()}})
         # counted over the files themselves, so a retried task counts once
         checks = {f"NOT NULL {f.name}": F.col(f.name).isNull() for f in schema.fields if not f.nullable}
         # as in SQL, a check that gives null is not violated
-        checks |= {f"CHECK {name}": ~F.expr(text) for name, text in constraints.items()}
+        checks |= {f"CHECK {name}": ~F.expr(text) for name, text in entry["constraints"].items()}
         found = written.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.when(c, 1)).alias(f"c{i}") for i, c in enumerate(checks.values())]).first()
         broken = [f"{name} ({found[f'c{i}']} rows)" for i, name in enumerate(checks) if found[f"c{i}"]]
         if broken:
-            self._fs.delete(self._at(folder), True)
+            fs.delete(at, True)
             raise ConstraintViolation(f"{self.path}: " + ", ".join(broken))
-        return folder, found["n"]
-
-    def append(self, rows: DataFrame, operation: str = "APPEND", files: int | None = 1) -> int:
-        """Add rows as one commit, in one file unless told otherwise; returns their number. No rows, no commit."""
-        entry, version = self.entry(), self.versions()[-1] + 1
-        folder, n = self._stage(rows, T.StructType.fromJson(json.loads(entry["schema"])), entry["constraints"], files)
-        if not n:
-            self._fs.delete(self._at(folder), True)
-            return 0
-        self._commit(version, entry, [*entry["folders"], folder], operation, {"rows": n}, folder)
-        return n
+        return parts, found["n"], folder
 
-    def replace(self, rows: DataFrame, operation: str, metrics: Mapping[str, int] | None = None) -> int:
-        """Put rows in the place of all rows, as one commit; returns the new version."""
-        entry, version = self.entry(), self.versions()[-1] + 1
-        folder, n = self._stage(rows, T.StructType.fromJson(json.loads(entry["schema"])), entry["constraints"], None)
-        self._commit(version, entry, [folder], operation, {"rows": n, **(metrics or {})}, folder)
-        return version
-
-    def _commit(self, version: int, entry: dict, folders: list[str], operation: str, metrics: dict, staged: str) -> None:
-        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    def _commit(self, entry: dict, parts: Mapping[str, Sequence[str]], operation: str, metrics: Mapping[str, int], staged: str) -> int:
+        """Publish the version after ``entry``'s; fails if anyone has published since that was read."""
+        version = entry["version"] + 1
         try:
-            self._publish(version, self._entry(schema, entry["constraints"], folders, operation, metrics))
+            self.log.publish(version, self._entry(entry, parts, operation, metrics))
         except ConcurrentCommit:
-            self._fs.delete(self._at(staged), True)
+            fs, at = file_system(self.spark, f"{self.path}/{staged}")
+            fs.delete(at, True)
             raise
+        return version
+
+    def append(self, rows: DataFrame, operation: str = "APPEND") -> int:
+        """Add rows as one commit; returns their number. No rows, no commit."""
+        entry = self.entry()
+        made, n, staged = self._stage(rows, entry)
+        if n:
+            parts = {p: [*entry["parts"].get(p, []), *([made[p]] if p in made else [])] for p in entry["parts"].keys() | made.keys()}
+            self._commit(entry, parts, operation, {"rows": n}, staged)
+        else:
+            fs, at = file_system(self.spark, f"{self.path}/{staged}")
+            fs.delete(at, True)
+        return n
 
-    def merge(self, transition: Callable[[DataFrame], tuple[DataFrame, dict[str, int]]], operation: str, idle: Callable[[dict], bool]) -> dict[str, int]:
-        """Replace the rows by what ``transition`` makes of them; nothing is published when its counts are ``idle``."""
-        rows, counts = transition(self.read())
-        if not idle(counts):
-            self.replace(rows, operation, counts)
+    def merge(self, updates: DataFrame, transition: Callable[[DataFrame], DataFrame], operation: str, counted: Sequence[str], publishing: Sequence[str]) -> dict[str, int]:
+        """Merge ``updates`` (with the table's key columns) as one commit; returns how often each change was made.
+
+        transition: from the present rows to all rows that are to be, with ``_change`` naming what became of
+        each (null: nothing). Only the parts that updates fall into are read, and only those in which a
+        change of ``publishing`` was made are written; all other folders stay. Without any such change there is no
+        commit. Lists of parts come to the driver, as long as the layout makes them. updates should be
+        kept (see ``cut``), since it is read more than once.
+        """
+        entry = self.entry()
+        part = self._part(entry)
+        met = [r[0] for r in updates.select(part.alias("p")).distinct().collect()]
+        after = cut(transition(self._rows(entry, met)))
+        changes = after.where(F.col("_change").isNotNull()).groupBy(part.alias("p"), "_change").agg(F.count(F.lit(1)).alias("n")).collect()
+        counts = {c: sum(r["n"] for r in changes if r["_change"] == c) for c in counted}
+        touched = sorted({r["p"] for r in changes if r["_change"] in publishing})
+        if touched:
+            rows = after.drop("_change").where(part.isin(touched)) if len(touched) < len(met) else after.drop("_change")
+            made, n, staged = self._stage(rows, entry)
+            parts = {p: f for p, f in entry["parts"].items() if p not in touched} | {p: [f] for p, f in made.items()}
+            self._commit(entry, parts, operation, {"rows": n, "parts": len(made), **counts}, staged)
         return counts
 
 
 def find_tables(spark: SparkSession, root: str) -> DataFrame:
     """name and path of every table under a folder; tables aren't searched for further tables."""
+    fs, _ = file_system(spark, root)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(root).getFileSystem(spark._jsc.hadoopConfiguration())
     found, waiting = [], [root.rstrip("/")]
     while waiting:
         folder = waiting.pop()
