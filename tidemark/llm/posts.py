@@ -3,46 +3,45 @@
 from __future__ import annotations
 
 import html
+import re
 
-import regex
-
-_FLAGS = regex.IGNORECASE | regex.DOTALL
+_FLAGS = re.IGNORECASE | re.DOTALL
+# Every pattern takes what it looks for whole, however long, and none can backtrack over more than a line.
 _BLOCKS = (
-    regex.compile(r"\[quote[^\]]*\](?:(?!\[quote).)*?\[/quote\]", _FLAGS),
-    regex.compile(r"<blockquote[^>]*>(?:(?!<blockquote).)*?</blockquote>", _FLAGS),
+    ("[/quote]", re.compile(r"\[quote[^\]]*\](?:(?!\[quote).)*?\[/quote\]", _FLAGS)),
+    ("</blockquote>", re.compile(r"<blockquote[^>]*>(?:(?!<blockquote).)*?</blockquote>", _FLAGS)),
 )
-_IMAGE = regex.compile(r"\[(img|url|attach)[^\]]*\].*?\[/\1\]|\[attachment[^\]]*\]", _FLAGS)
-_SMALL_PRINT = regex.compile(r"\[size=\d+\].*?\[/size\]", _FLAGS)
-_BREAK = regex.compile(r"<br\s*/?>\n?|</?p>\n?|</?div[^>]*>", regex.IGNORECASE)
-_TAG = regex.compile(r"</?[a-z][^<>]{0,80}>|\[/?[a-z]+(?:=[^\]]{0,80})?\]", regex.IGNORECASE)
-_QUOTED = regex.compile(r"^\s*[>|»]")
-_ATTRIBUTION = regex.compile(r"^.{0,80}\b(wrote|writes|schrieb|schreibt|escribió|dijo)\b.{0,40}:\s*$", regex.IGNORECASE)
-_SIGNATURE = regex.compile(r"^\s*(--|—|_{3,})\s*$")
-_CLOSING = regex.compile(r"^\s*(cheers|regards|best|thanks|gruß|grüße|saludos)\s*,?\s*$", regex.IGNORECASE)
-_SENT_FROM = regex.compile(r"^\s*(sent from my|gesendet von|enviado desde)\b.*$", regex.IGNORECASE)
-_GREETING = regex.compile(
-    r"^\s*(hi|hey|hello|good (morning|evening|day|afternoon)|dear|hallo|moin|guten (tag|abend|morgen)|servus|hola|buenas|buenos días)\b"
-    r"[^.!?]{0,25}[,:!.]?\s*$",
-    regex.IGNORECASE,
+_IMAGE = re.compile(r"\[(img|url|attach)[^\]]*\].*?\[/\1\]|\[attachment[^\]]*\]", _FLAGS)
+_SMALL_PRINT = re.compile(r"\[size=\d+\].*?\[/size\]", _FLAGS)
+_BREAK = re.compile(r"<br\s*/?>\n?|</?p>\n?|</?div[^>]*>", re.IGNORECASE)
+_TAG = re.compile(r"</?[a-z][^<>]*>|\[/?[a-z]+(?:=[^\[\]]*)?\]", re.IGNORECASE)
+_QUOTE_MARKS = (">", "|", "»")
+_WROTE = re.compile(r"\b(?:wrote|writes|schrieb|schreibt|escribió|dijo)\b", re.IGNORECASE)
+_ENDED = re.compile(r"[.!?…]\s")
+_SIGNATURE = re.compile(r"\s*(?:--|—|_{3,})\s*$")
+_CLOSING = re.compile(r"\s*(?:cheers|regards|best|thanks|gruß|grüße|saludos)\s*,?\s*$", re.IGNORECASE)
+_SENT_FROM = re.compile(r"\s*(?:sent from my|gesendet von|enviado desde)\b", re.IGNORECASE)
+_GREETING = re.compile(
+    r"\s*(?:hi|hey|hello|good (?:morning|evening|day|afternoon)|dear|hallo|moin|guten (?:tag|abend|morgen)|servus|hola|buenas|buenos días)\b"
+    r"(?:[^.!?]*[,:!]|(?:[^\w.!?]+\w+){0,3}[^\w!?]*)\s*$",
+    re.IGNORECASE,
 )
-_ATTRIBUTION_START = regex.compile(r"^\s*(on|am|el)\s+[\d.\-/]{6,}", regex.IGNORECASE)
-_WITHDRAWN = regex.compile(r"^\s*[\[<(](deleted|removed|withdrawn|gelöscht|entfernt|eliminado|borrado)\b[^\])>]{0,60}[\])>]\s*$", regex.IGNORECASE)
-_END = regex.compile(r"(?<=[.!?…。？！])[\"')\]»]*\s+")
-_SLIPPED = regex.compile(r"(?<=\p{Ll})\.(\p{Ll}) (?=\p{Lu})")
-_REFERRING = regex.compile(r"(^|\W)re [^:]{1,60}: no\.$", regex.IGNORECASE)
-_CHARACTER = regex.compile(r"[\p{L}\p{N}]")
-_STEP = regex.compile(r"(^|\W)step \d+:", regex.IGNORECASE)
+_ATTRIBUTION_START = re.compile(r"\s*(?:on|am|el)\s+[\d.\-/]{6,}", re.IGNORECASE)
+_WITHDRAWN = re.compile(r"\s*[\[<(](?:deleted|removed|withdrawn|gelöscht|entfernt|eliminado|borrado)\b[^\])>]*[\])>]\s*$", re.IGNORECASE)
+_END = re.compile(r"([.!?…。？！])[\"')\]»]*\s+")
+_SLIPPED = re.compile(r"([^\W\d_])\.([^\W\d_]) (?=([^\W\d_]))")
+_CHARACTER = re.compile(r"[^\W_]")
 # Endings of web addresses, the reserved ones among them.
 _ENDINGS = "com|net|org|info|biz|shop|site|online|top|xyz|ru|cn|io|invalid|example|test"
-_ADDRESS = regex.compile(rf"https?://\S+|www\.\S+|\b[\p{{L}}\p{{N}}-]{{3,}}\.(?:{_ENDINGS})\b", regex.IGNORECASE)
-_POINT = regex.compile(r"://|[\p{L}\p{N}-]\.[\p{L}\p{N}]{2}")  # no address is without one of these
-_MIXED = regex.compile(r"[01345]\p{L}|\p{L}[01345]")
-_DISGUISED = regex.compile(r"\b(?=[\p{L}\p{N}]*\p{L}{2})(?=[\p{L}\p{N}]*[01345])[\p{L}01345]{3,}\b|(?<=\.)[\p{L}01345]{3,}\b")
+_ADDRESS = re.compile(rf"https?://\S+|www\.\S+|\b(?:[^\W_]|-){{3,}}\.(?:{_ENDINGS})\b", re.IGNORECASE)
+_TOKEN = re.compile(r"[^\W_]+")
+_WORD = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*")
+_PIECE = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*|\d+")
 _PLAIN = str.maketrans("01345", "oieas")
-_WRONG = regex.compile("[ÂÃÄâð][\u0080-ÿŒ-™]{1,3}")
+_WRONG = re.compile("[ÂÃÄâð][\u0080-ÿŒ-™]{1,3}")
 
 
-def _redecode(match: regex.Match) -> str:
+def _redecode(match: re.Match) -> str:
     text = match.group()
     for codec in ("cp1252", "latin-1"):
         try:
@@ -54,7 +53,8 @@ def _redecode(match: regex.Match) -> str:
 
 def repaired(text: str) -> str:
     """The text with UTF-8 that was read as a one-byte code turned back, and entities resolved."""
-    text = _WRONG.sub(_redecode, text)
+    if not text.isascii():
+        text = _WRONG.sub(_redecode, text)
     for _ in range(3 if "&" in text else 0):
         plain = html.unescape(text)
         if plain == text:
@@ -63,11 +63,25 @@ def repaired(text: str) -> str:
     return text.replace(" ", " ")
 
 
+def _plain_token(token: str, anyway: bool = False) -> str:
+    """A token with digits that stand for letters turned back, if it has two letters in a row and no other digits."""
+    if len(token) < 3 or token.isalpha() or token.isdigit():
+        return token
+    letters = "".join("a" if c.isalpha() else c for c in token)
+    if letters.strip("a01345") or not any(c in letters for c in "01345") or not (anyway or "aa" in letters):
+        return token
+    return token.translate(_PLAIN)
+
+
 def undisguised(text: str) -> str:
-    """Digits that stand for letters inside a word turned back into them."""
-    if not _MIXED.search(text):
-        return text
-    return _DISGUISED.sub(lambda m: m.group().translate(_PLAIN), text)
+    """Digits that stand for letters inside a word turned back into them; after a point even without two letters in a row."""
+    return _TOKEN.sub(lambda m: _plain_token(m.group(), m.start() > 0 and text[m.start() - 1] == "."), text)
+
+
+def _is_attribution(line: str) -> bool:
+    """Whether a line only says who wrote what follows: it ends with a colon and no sentence ends inside it."""
+    bare = line.rstrip()
+    return bare.endswith(":") and bool(_WROTE.search(bare)) and not _ENDED.search(bare)
 
 
 def own_lines(text: str | None) -> list[str]:
@@ -78,65 +92,86 @@ def own_lines(text: str | None) -> list[str]:
     if not text or not text.strip():
         return []
     text = repaired(text)
-    for block in _BLOCKS:
-        before = None
-        while before != text:  # the innermost first
-            before, text = text, block.sub("\n", text)
-    text = _SMALL_PRINT.sub("\n", _IMAGE.sub("\n", text))
-    # a quoted line is quoted to its end, paragraphs in it included
-    text = "\n".join(line for line in text.split("\n") if not _QUOTED.match(line))
+    marked = "[" in text or "<" in text
+    if marked:
+        for end, block in _BLOCKS:
+            before = None
+            while before != text and end in text.lower():  # the innermost first
+                before, text = text, block.sub("\n", text)
+        if "[" in text:
+            text = _SMALL_PRINT.sub("\n", _IMAGE.sub("\n", text))
+    if any(mark in text for mark in _QUOTE_MARKS):
+        # a quoted line is quoted to its end, paragraphs in it included
+        text = "\n".join(line for line in text.split("\n") if not line.lstrip().startswith(_QUOTE_MARKS))
+    if marked:
+        text = _BREAK.sub("\n", text)
     lines: list[str] = []
-    for line in _BREAK.sub("\n", text).split("\n"):
-        if _SIGNATURE.match(line):
+    for line in text.split("\n"):
+        bare = line.strip()
+        if not bare:
+            continue
+        if bare[0] in "-—_" and _SIGNATURE.match(line):
             break
-        if _QUOTED.match(line) or _ATTRIBUTION.match(line) or _ATTRIBUTION_START.match(line) or _SENT_FROM.match(line):
+        if bare[0] in ">|»" or (bare[-1] == ":" and _is_attribution(line)) or (bare[0] in "oaeOAE" and _ATTRIBUTION_START.match(line)):
             continue
-        if _WITHDRAWN.match(line):
+        if (bare[0] in "sgeSGE" and _SENT_FROM.match(line)) or (bare[0] in "[<(" and _WITHDRAWN.match(line)):
             continue
-        line = _TAG.sub(" ", line).strip()
-        if line:
-            lines.append(line)
+        if marked:
+            bare = _TAG.sub(" ", line).strip()
+        if bare:
+            lines.append(bare)
     # a greeting before the first sentence, a closing word and a name after the last
-    while lines and _GREETING.match(lines[0]):
-        lines.pop(0)
+    first = 0
+    while first < len(lines) and _GREETING.match(lines[first]):
+        first += 1
+    lines = lines[first:]
     for i in range(len(lines) - 1, max(-1, len(lines) - 4), -1):
         if _CLOSING.match(lines[i]):
             return lines[:i]
     return lines
 
 
+def _put_back(match: re.Match) -> str:
+    before, after, follows = match.groups()
+    return f"{before}{after}. " if before.islower() and after.islower() and follows.isupper() else match.group()
+
+
 def sentences(text: str | None) -> list[str]:
-    """The sentences of the author's own text, over line breaks; abbreviating forms stay together."""
-    # a full stop that slipped before a sentence's last letter is put back
-    pieces = _END.split(_SLIPPED.sub(r"\1. ", " ".join(own_lines(text))))
-    out: list[str] = []
-    for piece in pieces:
-        piece = piece.strip()
-        if not _CHARACTER.search(piece):
-            continue
-        joined = False
-        if out and out[-1].endswith(": no."):
-            joined = bool(_REFERRING.search(out[-1])) and piece[:3].lower() == "re "
-        elif out and ":" in out[-1] and _STEP.search(out[-1]):
-            joined = bool(_STEP.match(piece)) or piece.lower().startswith("nothing ")
-        if joined:
-            out[-1] += " " + piece
-        else:
-            out.append(piece)
-    return out
+    """The sentences of the author's own text, over line breaks."""
+    own = " ".join(own_lines(text))
+    if "." in own:
+        # a full stop that slipped before a sentence's last letter is put back
+        own = _SLIPPED.sub(_put_back, own)
+    pieces = [p.strip() for p in _END.sub(r"\1\n", own).split("\n")]
+    return [p for p in pieces if _CHARACTER.search(p)]
 
 
 def has_address(sentence: str) -> bool:
     """Whether a sentence gives a web address, disguised or not."""
-    if not _POINT.search(sentence):
+    point = sentence.find(".")
+    if not 0 <= point < len(sentence) - 2 and "://" not in sentence:
         return False
     return bool(_ADDRESS.search(sentence) or _ADDRESS.search(undisguised(sentence)))
 
 
-_WORD = regex.compile(r"[\p{L}\p{M}]+(?:[-'’][\p{L}\p{M}]+)*|\p{N}+")
+def tokens(text: str) -> list[str]:
+    """Runs of letters and digits in lower case, parts with hyphens and apostrophes together; each is ``words_of`` something."""
+    return _WORD.findall(text.lower())
+
+
+def words_of(token: str) -> list[str]:
+    """The words of a token, mostly one: itself; numbers are all alike, and what disguises a word is turned back."""
+    if token.isalpha():
+        return [token]
+    plain = _TOKEN.sub(lambda m: _plain_token(m.group()), token)
+    return ["0" if w[0].isdigit() else w for w in _PIECE.findall(plain)]
+
+
+def words(text: str) -> list[str]:
+    return [w for t in tokens(text) for w in words_of(t)]
 
 
 def features(sentence: str) -> list[str]:
-    """Words and pairs of neighbours in lower case; numbers are all alike."""
-    words = ["0" if w[0].isdigit() else w for w in _WORD.findall(undisguised(sentence.lower()))]
-    return [*words, *(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))]
+    """Words and pairs of neighbours."""
+    own = words(sentence)
+    return [*own, *(f"{a} {b}" for a, b in zip(own, own[1:], strict=False))]

@@ -9,21 +9,23 @@ Every sentence of a post's own text gets the votes of five labelling functions:
 - ``source``: what most sentences of the board are about.
 
 A latent-class model over all sentences of the corpus learns how often each function votes and how
-often it is right, and gives the posterior of a sentence's subject. A post has the subjects that at least
-a third of its sentences have.
+often it is right, and gives the posterior of a sentence's subject. A post has the subjects that, by the
+posteriors of its sentences, at least a third of them have with a probability of a half or more.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.posts import features, has_address, sentences
+from tidemark.llm.posts import _WORD, features, has_address, sentences, words_of
+from tidemark.operators.skew import lookup
 from tidemark.session import cut, spread
 
 NONE = "none"
@@ -48,13 +50,40 @@ class Options:
     """Parameters of the fit and of the decision."""
 
     most_labelled: int = 20_000  #: labelled posts the lexicon is learned from, by a hash of their ids
-    most_terms: int = 100_000  #: terms of the lexicon, those with most evidence
+    most_labelled_bytes: int = 32 * 1024 * 1024  #: bytes of text they may have together
     rounds: int = 4
     purity: float = 0.5  #: share of a term's weighted occurrences that one class must have
     least_count: int = 3
     share: float = 1 / 3  #: of a post's sentences that make a subject
 
 
+#: Tokens whose words are remembered in a task.
+MOST_TOKENS = 500_000
+_BREAK, _UNKNOWN, _SEVERAL = -2, -1, -10
+
+
+class _Tokens(dict):
+    """Numbers of tokens: of the only word in it, _UNKNOWN, or _SEVERAL - i for entry i of ``several``."""
+
+    def __init__(self, numbers: dict[str, int]):
+        super().__init__(numbers)
+        self.numbers, self.several = numbers, []
+
+    def __reduce__(self):
+        return _Tokens, (self.numbers,)
+
+    def __missing__(self, token: str) -> int:
+        own = [self.numbers.get(w, _UNKNOWN) for w in words_of(token)]
+        if len(own) == 1:
+            number = own[0]
+        else:
+            self.several.append(own)
+            number = _SEVERAL - (len(self.several) - 1)
+        if len(self) < MOST_TOKENS:
+            self[token] = number
+        return number
+
+
 class Lexicon:
     """Seeds and learned weights of terms for each class; the last class is ``none``."""
 
@@ -65,26 +94,60 @@ class Lexicon:
 
     def fill(self, weights: dict[str, np.ndarray]) -> None:
         k = len(self.classes)
-        self.rows = {term: i for i, term in enumerate([*self.seeds, *(t for t in weights if t not in self.seeds)])}
-        # per term its class as a seed, its learned weights, and whether it has any
-        self.table = np.zeros((len(self.rows) + 1, 2 * k + 1), np.float32)
+        terms = [*self.seeds, *(t for t in weights if t not in self.seeds)]
+        self.rows = {term: i for i, term in enumerate(terms)}
+        # per term its class as a seed, its learned weights, and whether it has any; the last row is for no term
+        self.table = np.zeros((len(terms) + 1, 2 * k + 1), np.float32)
         for term, c in self.seeds.items():
             self.table[self.rows[term], c] = 1
         for term, values in weights.items():
             self.table[self.rows[term], k : 2 * k] = values
             self.table[self.rows[term], 2 * k] = 1
+        # words by number, and the rows of single words and of pairs by their words' numbers
+        known = {w: i for i, w in enumerate(dict.fromkeys(w for t in terms for w in t.split(" ")))}
+        self.tokens = _Tokens(known)
+        self.single = np.full(len(known) + 1, len(terms))
+        pairs = {}
+        for term, row in self.rows.items():
+            own = [known[w] for w in term.split(" ")]
+            if len(own) == 1:
+                self.single[own[0]] = row
+            else:
+                pairs[own[0] * len(known) + own[1]] = row
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        self.pair_rows = np.array([pairs[key] for key in self.pair_keys.tolist()], np.int64)
+
+    def _terms(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sentence and row of every distinct term of every sentence, in order; each sentence has the row for none as well."""
+        known, n, nothing = len(self.tokens.numbers), len(texts), len(self.rows)
+        self.tokens[chr(10)] = _BREAK
+        numbers = list(map(self.tokens.__getitem__, _LINES.findall(chr(10).join(texts).lower())))
+        ids = np.array(numbers, np.int64)
+        if len(ids) and ids.min() <= _SEVERAL:
+            ids = np.array([j for i in numbers for j in (self.tokens.several[_SEVERAL - i] if i <= _SEVERAL else (i,))], np.int64)
+        at = np.cumsum(ids == _BREAK)
+        ids, at = ids[ids != _BREAK], at[ids != _BREAK]
+        rows, places = [np.full(n, nothing), self.single[ids]], [np.arange(n), at]
+        if len(self.pair_keys):
+            first, second = ids[:-1], ids[1:]
+            key = np.where((at[1:] == at[:-1]) & (first >= 0) & (second >= 0), first * known + second, -1)
+            place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+            hit = self.pair_keys[place] == key
+            rows.append(self.pair_rows[place[hit]])
+            places.append(at[1:][hit])
+        both = np.unique(np.concatenate(places) * (nothing + 1) + np.concatenate(rows))
+        return both // (nothing + 1), both % (nothing + 1)
 
     def votes(self, texts: list[str]) -> np.ndarray:
-        """Per sentence the votes of the seed and the learned lexicon, 0 for none given, else the class's number from 1; 1 if the latter is sure."""
+        """Per sentence the votes of the seed and the learned lexicon, 0 for none given, else the class's number from 1; 1 if the latter is sure.
+
+        Sentences are given without line breaks; all are looked up at once.
+        """
         if not texts:
             return np.zeros((0, 3), np.int64)
-        k, known, nothing = len(self.classes), self.rows, len(self.rows)
-        places, starts = [], []
-        for text in texts:
-            starts.append(len(places))
-            places.append(nothing)  # so that no sentence is without a term
-            places += [known[t] for t in set(features(text)) if t in known]
-        sums = np.add.reduceat(self.table[places], starts, axis=0)
+        k = len(self.classes)
+        at, rows = self._terms(texts)
+        sums = np.add.reduceat(self.table[rows], np.searchsorted(at, np.arange(len(texts))), axis=0)
         every = np.arange(len(texts))
         seen = sums[:, :k]
         order = np.sort(seen, axis=1)
@@ -98,12 +161,25 @@ class Lexicon:
         return np.stack([seed, np.where(found, best + 1, 0), found & (top - score.max(axis=1) > 2.0)], axis=1).astype(np.int64)
 
 
+_LINES = re.compile(chr(10) + "|" + _WORD.pattern)
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, options: Options) -> list:
-    """At most ``most_labelled`` labelled posts with the set of their labels, brought to the driver: a bounded sample."""
+    """Labelled posts with the set of their labels, brought to the driver: a sample bounded in rows and in bytes.
+
+    The first ``most_labelled`` labelled ids by their hash, of which as many are taken, in that order, as have no more
+    than ``most_labelled_bytes`` of text together.
+    """
     known = labels.where("doc_id IS NOT NULL AND subject IS NOT NULL").groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(options.most_labelled)
     # broadcast: a row of an id and at most as many subjects as there are, most_labelled times
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "subjects").collect()
+    found = cut(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "size")  # over at most most_labelled sizes, copies of a post apart
+    sizes = found.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    within = sizes.withColumn("total", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("total") <= options.most_labelled_bytes)
+    taken = within.groupBy("doc_id").agg(F.max("size").alias("most"))
+    same = [found["doc_id"] == taken["doc_id"], F.coalesce(F.octet_length("text"), F.lit(0)) <= F.col("most")]
+    return found.join(F.broadcast(taken), same, "left_semi").select("text", "subjects").collect()
 
 
 def learn(sample: list, subjects: list[str], options: Options = Options()) -> Lexicon:
@@ -169,8 +245,6 @@ def learn(sample: list, subjects: list[str], options: Options = Options()) -> Le
         score[:, -1] += 0.7
     terms = list(vocabulary)
     used = np.flatnonzero(np.abs(weights).max(axis=1) > 0)
-    if len(used) > options.most_terms:
-        used = used[np.argsort(-np.bincount(columns_, minlength=v)[used], kind="stable")[: options.most_terms]]
     lexicon.fill({terms[i]: weights[i] for i in used.tolist()})
     return lexicon
 
@@ -222,31 +296,75 @@ def _vote_posts(lexicon, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = lexicon.value
         for batch in batches:
-            texts = batch.column("text")
-            codes, tallies, advertising = [], [], []
-            for start in range(0, len(texts), 64):
-                own = [sentences(text) for text in texts[start : start + 64].to_pylist()]
-                votes = words.votes([s for post in own for s in post])
-                at = 0
-                for post in own:
-                    cast = votes[at : at + len(post)]
-                    at += len(post)
-                    codes.append((cast[:, 0] * (k + 1) + cast[:, 1]) * 2 + cast[:, 2])
-                    tallies.append(np.bincount(cast[:, 1], minlength=k + 1)[1:k])
-                    advertising.append(any(has_address(s) for s in post))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("doc_id", "thread", "board")),
-                    pa.array(codes, pa.list_(pa.int32())),
-                    pa.array(tallies, pa.list_(pa.int32())),
-                    pa.array(advertising, pa.bool_()),
-                ],
-                names=["doc_id", "thread", "board", "codes", "tally", "address"],
-            )
+            texts, parts = batch.column("text"), []
+            for start in range(0, len(texts), 128):
+                own = [sentences(text) for text in texts[start : start + 128].to_pylist()]
+                cast = words.votes([s for post in own for s in post])
+                lengths = np.array([len(post) for post in own], np.int64)
+                post = np.repeat(np.arange(len(own)), lengths)
+                tallies = np.bincount(post * (k + 1) + cast[:, 1], minlength=len(own) * (k + 1)).reshape(len(own), k + 1)[:, 1:k].astype(np.int32)
+                codes = ((cast[:, 0] * (k + 1) + cast[:, 1]) * 2 + cast[:, 2]).astype(np.int32)
+                parts.append(
+                    pa.RecordBatch.from_arrays(
+                        [
+                            *(batch.column(c).slice(start, len(own)) for c in ("doc_id", "thread", "board")),
+                            pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(codes)),
+                            pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * (k - 1)), pa.array(tallies.ravel())),
+                            pa.array([any(has_address(s) for s in post) for post in own], pa.bool_()),
+                        ],
+                        names=["doc_id", "thread", "board", "codes", "tally", "address"],
+                    )
+                )
+            if parts:
+                yield from pa.Table.from_batches(parts).combine_chunks().to_batches()
 
     return run
 
 
+#: A posterior this near to 0 or 1 counts as certain.
+CERTAIN = 0.01
+#: From this many uncertain sentences on, the probability is judged by their expected number.
+MANY = 2_000
+
+
+def likely_at_least(chances: np.ndarray, least: int) -> bool:
+    """Whether at least ``least`` of independent events with these chances happen with a probability of a half or more."""
+    if least <= 0:
+        return True
+    if len(chances) < least:
+        return False
+    if len(chances) > MANY:  # the median lies within one of the mean
+        return bool(chances.sum() >= least - 0.5)
+    fewer = np.zeros(least)  # probability of each number below ``least``
+    fewer[0] = 1.0
+    for p in chances.tolist():
+        fewer[1:] = fewer[1:] * (1 - p) + fewer[:-1] * p
+        fewer[0] *= 1 - p
+    return bool(1 - fewer.sum() >= 0.5)
+
+
+def decide(lengths: np.ndarray, posteriors: np.ndarray, share: float) -> list[tuple[int, int]]:
+    """Posts and their subjects: (post, class) where at least a ``share`` of its sentences have it, more likely than not.
+
+    lengths: sentences of each post. posteriors: one row per sentence, a column per class, the last one for no subject.
+    """
+    have = np.flatnonzero(lengths > 0)
+    if not len(have):
+        return []
+    starts = (np.cumsum(lengths) - lengths)[have]
+    least = np.ceil(share * lengths[have] - 1e-9).astype(np.int64)
+    surely = np.add.reduceat((posteriors >= 1 - CERTAIN).astype(np.int64), starts, axis=0)
+    perhaps = np.add.reduceat((posteriors > CERTAIN).astype(np.int64), starts, axis=0)
+    out = []
+    for i, c in zip(*np.nonzero(perhaps[:, :-1] >= np.maximum(least, 1)[:, None]), strict=True):
+        if surely[i, c] < least[i]:
+            p = posteriors[starts[i] : starts[i] + lengths[have[i]], c]
+            if not likely_at_least(p[(p > CERTAIN) & (p < 1 - CERTAIN)], int(least[i] - surely[i, c])):
+                continue
+        out.append((int(have[i]), int(c)))
+    return out
+
+
 def _majority(posts: DataFrame, key: str, name: str, k: int) -> DataFrame:
     """Per group of posts the subject that most sentences with one have, from 1; no row without a majority of half."""
     sums = posts.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.sum(F.col("tally")[c]).alias(f"c{c}") for c in range(k - 1)])
@@ -263,10 +381,12 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
     wrong, missing or repeated. subjects: the names, in ``subject``; the list is short and fixed. A post
     without own sentences (null, empty, blank, withdrawn, all quotes) has no subject. Without labels only the seeds vote. A repeated row is judged like any other.
 
-    The lexicon is learned from at most ``most_labelled`` labelled posts and holds at most ``most_terms``
-    terms, so it may be broadcast. Everything else covers all posts: votes, the counts of vote patterns that
+    The lexicon is learned from a sample bounded in rows and bytes (``Options``), and can't have more terms than that
+    holds, so it may be broadcast. Everything else covers all posts: votes, the counts of vote patterns that
     the latent model is fitted to, and threads and boards. Patterns are at most a product of the numbers
-    of classes, whatever the corpus. Hot threads and boards are added up before the shuffle.
+    of classes, whatever the corpus. Hot threads and boards are added up before the shuffle, and
+    their posts get the result without being shuffled (``skew.lookup``). A sentence's posterior goes into its post's
+    decision as it is (``decide``).
     """
     spark = documents.sparkSession
     names = sorted(r[0] for r in subjects.where(F.col("subject").isNotNull() & (F.col("subject") != NONE)).select("subject").distinct().collect())
@@ -280,49 +400,40 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: DataFrame
     read = spread(documents.select("doc_id", "text", F.col("thread_id").cast("long").alias("thread"), F.lower(F.trim("source")).alias("board")))
     voted = read.mapInArrow(_vote_posts(lexicon, k), f"doc_id {kind}, thread long, board string, codes array<int>, tally array<int>, address boolean")
     posts = cut(voted.where("size(codes) > 0"))
-    placed = (
-        posts.join(_majority(posts, "thread", "section", k), "thread", "left")
-        .join(_majority(posts, "board", "source", k), "board", "left")
-        .select("doc_id", "codes", (F.col("address").cast("int") * k * k + F.coalesce("section", F.lit(0)) * k + F.coalesce("source", F.lit(0))).alias("around"))
+    placed = lookup(posts, cut(_majority(posts, "thread", "section", k)), "thread", ["section"])
+    placed = lookup(placed, cut(_majority(posts, "board", "source", k)), "board", ["source"])
+    around = F.col("address").cast("int") * k * k + F.coalesce("section", F.lit(0)) * k + F.coalesce("source", F.lit(0))
+    placed = placed.select("doc_id", "codes", around.cast("long").alias("around"))
+    # one number for a pattern; at most as many as there are patterns of votes
+    width = 2 * (k + 1) * (k + 1)
+    pattern = F.col("around") * width + F.col("code")
+    counted = placed.select(F.explode("codes").alias("code"), "around").groupBy(pattern.alias("pattern")).agg(F.count(F.lit(1)).alias("n")).collect()
+    keys = np.array(sorted((r["pattern"], r["n"]) for r in counted), np.int64).reshape(-1, 2)
+    code, places = keys[:, 0] % width, keys[:, 0] // width
+    learned = code // 2 % (k + 1)
+    patterns = np.stack(
+        [
+            code // 2 // (k + 1),
+            np.where(code % 2 == 0, learned, 0),
+            np.where(code % 2 == 1, learned, 0),
+            np.where(places // (k * k) > 0, k, 0),
+            places // k % k,
+            places % k,
+        ],
+        axis=1,
     )
-    counted = placed.select(F.explode("codes").alias("code"), "around").groupBy("code", "around").agg(F.count(F.lit(1)).alias("n")).collect()
-    assigned: dict[tuple[int, int], int] = {}
-    if counted:
-        rows = np.array([(r["code"], r["around"]) for r in counted], np.int64)
-        code, around = rows[:, 0], rows[:, 1]
-        learned = code // 2 % (k + 1)
-        patterns = np.stack(
-            [
-                code // 2 // (k + 1),
-                np.where(code % 2 == 0, learned, 0),
-                np.where(code % 2 == 1, learned, 0),
-                np.where(around // (k * k) > 0, k, 0),
-                around // k % k,
-                around % k,
-            ],
-            axis=1,
-        )
-        posterior = fit_latent(patterns, np.array([r["n"] for r in counted], float), k)
-        best = posterior.argmax(axis=1)
-        sure = posterior.max(axis=1) >= 0.5
-        for pair, c, ok in zip(rows.tolist(), best.tolist(), sure.tolist(), strict=True):
-            if ok and c < k - 1:
-                assigned[pair[0], pair[1]] = c
-    table = spark.sparkContext.broadcast(assigned)
+    posterior = fit_latent(patterns, keys[:, 1].astype(float), k) if len(keys) else np.zeros((0, k))
+    table = spark.sparkContext.broadcast((keys[:, 0], posterior))
     share = options.share
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = table.value
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, chances = table.value
         for batch in batches:
-            at, found = [], []
-            for i, (own, around) in enumerate(zip(batch.column("codes").to_pylist(), batch.column("around").to_pylist(), strict=True)):
-                tally = [0] * k
-                for code in own:
-                    tally[known.get((code, around), k - 1)] += 1
-                for c in range(k - 1):
-                    if tally[c] and tally[c] >= share * len(own) - 1e-9:
-                        at.append(i)
-                        found.append(classes[c])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(found, pa.string())], names=["doc_id", "subject"])
-
-    return placed.mapInArrow(decide, f"doc_id {kind}, subject string")
+            codes = batch.column("codes")
+            lengths = codes.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            own = codes.flatten().to_numpy().astype(np.int64) + np.repeat(batch.column("around").to_numpy(), lengths) * width
+            found = decide(lengths, chances[np.searchsorted(known, own)], share)
+            at, names_ = [i for i, _ in found], [classes[c] for _, c in found]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(names_, pa.string())], names=["doc_id", "subject"])
+
+    return placed.mapInArrow(judge, f"doc_id {kind}, subject string")
