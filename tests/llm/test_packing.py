@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 pytest.importorskip("tidemark.llm")
-from tidemark.llm.packing import Containers, Cost, pack, pack_items  # noqa: E402
+from tidemark.llm.packing import Containers, Cost, check_packing, pack, pack_items  # noqa: E402
 
 
 def brute(lengths, capacity, cost):
@@ -80,3 +80,28 @@ def test_many_groups_and_repeated_rows(spark):
         fill[r["container"]] = fill.get(r["container"], 0) + r["n_tokens"]
     assert max(fill.values()) <= 256 and len({c.split(":")[0] for c in fill}) > 4
     assert sum(fill.values()) / (256 * len(fill)) > 0.95
+
+
+def test_the_same_items_give_the_same_containers(spark):
+    """Whatever the partitioning and the order, with repeated rows and items of the same size."""
+    frame = spark.range(9000).selectExpr("id % 4000 AS doc_id", "hash(id % 4000) % 300 + 301 AS n_tokens")
+    pack_ = lambda f: sorted(map(tuple, pack_items(f, capacity=512, group_items=700).collect()))
+    first = pack_(frame.repartition(3))
+    assert len(first) > 9000 and first == pack_(frame.repartition(11, "n_tokens")) == pack_(frame.orderBy("n_tokens").coalesce(1))
+
+
+def test_what_a_packing_must_keep(spark):
+    columns = "doc_id long, part int, n_tokens int, container string, position int"
+    check = lambda rows: check_packing(spark.createDataFrame(rows, columns), capacity=10).first().asDict()
+    good = [(1, 0, 10, "0:0", 0), (1, 1, 5, "0:1", 0), (2, 0, 5, "0:1", 5)]
+    fine = {"n_items": 2, "wrongly_split": 0, "overfull": 0, "overlapping": 0, "gaps": 0, "well_filled": True}
+    assert check(good) == fine
+    assert check([*good[:2], (2, 0, 5, "0:1", 4)])["overlapping"] == 1
+    assert check([*good[:2], (2, 0, 4, "0:1", 6)])["gaps"] == 1
+    assert check([*good, (3, 0, 1, "0:1", 10)])["overfull"] == 1
+    assert check([(1, 0, 4, "0:0", 0), (1, 1, 4, "0:0", 4)])["wrongly_split"] == 1
+    assert check([(1, 0, 7, "0:0", 0), (1, 1, 7, "0:1", 0)])["wrongly_split"] == 1
+    assert not check([(i, 0, 1, f"0:{i}", 0) for i in range(20)])["well_filled"]
+    assert check([]) == fine | {"n_items": 0}
+    frame = spark.range(3000).selectExpr("id AS doc_id", "id % 700 AS n_tokens")
+    assert check_packing(pack_items(frame, capacity=256, group_items=500), capacity=256).first().asDict() == fine | {"n_items": 2995}

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import cut
@@ -105,24 +105,30 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, cost: Cost = Cost(),
     items: ``identity`` and ``n_tokens``. An item longer than the capacity is split into full parts and a
     rest, numbered from 0; no other item is split. Items of size 0, null or less are in no container and
     don't come out. container is ``group:number``; position is the part's first token in it. Rows with
-    the same identity are separate items (a repeated row with the same size is put in the same group but
-    takes its own room).
+    the same identity are separate items, each with room of its own.
 
-    Parts are dealt to groups by a hash, so every group has the same mix of lengths, no key is hot, and
-    groups are packed independently; a group wastes at most about what one container holds. Items within
-    a group are put into a fixed order first, so the result doesn't depend on the order of arrival.
+    Parts are dealt to groups by a hash of what they are (identity, part, size) and, for parts that are alike, of
+    a number from 0 up; so every group has the same mix of lengths, no key is hot, and
+    groups are packed independently; a group wastes at most about what one container holds. Which group a part
+    is in, and its place among that group's parts, follow from the set of items alone: the same items give the
+    same containers however they are partitioned or ordered.
     """
     sized = items.where(F.col("n_tokens") > 0).select(F.col(identity), F.col("n_tokens").cast("long").alias("size"))
-    parts = sized.select(
+    # parts that are alike are counted, before the shuffle too, and told apart by a number
+    alike = cut(sized.groupBy(identity, "size").agg(F.count(F.lit(1)).alias("copies")))
+    pieces = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(capacity).cast("long"))
+    total = alike.agg(F.coalesce(F.sum(F.col("copies") * F.ceil(F.col("size") / capacity)), F.lit(0)).cast("long")).first()[0]
+    groups = max(1, -(-total // group_items))
+    split = alike.select(identity, "size", "copies", F.posexplode(pieces).alias("part", "start"))
+    parts = split.select(
         identity,
-        F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(capacity).cast("long"))).alias("part", "start"),
+        "part",
+        F.least(F.col("size") - F.col("start"), F.lit(capacity)).cast("int").alias("n_tokens"),
         "size",
-    ).select(identity, "part", F.least(F.col("size") - F.col("start"), F.lit(capacity)).cast("int").alias("n_tokens"))
-    ready = cut(parts)
-    groups = max(1, -(-ready.count() // group_items))
-    # a column of chance beside the identity's hash, so that repeats of one identity don't fill a group
-    dealt = ready.withColumn("group", F.pmod(F.xxhash64(identity, "part", F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
-    kind = dict(ready.dtypes)[identity]
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"),
+    )
+    dealt = parts.withColumn("group", F.pmod(F.xxhash64(identity, "part", "size", "copy"), F.lit(groups)).cast("int"))
+    kind = dict(items.dtypes)[identity]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -148,5 +154,39 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, cost: Cost = Cost(),
         if held:
             yield from flush()
 
-    ordered = dealt.repartition("group").sortWithinPartitions("group", "n_tokens", identity, "part")
+    ordered = dealt.repartition("group").sortWithinPartitions("group", "n_tokens", identity, "part", "size", "copy")
     return ordered.mapInArrow(run, f"`{identity}` {kind}, part int, n_tokens int, container string, position int")
+
+
+def check_packing(packed: DataFrame, capacity: int = CAPACITY, identity: str = "doc_id", tightness: float = 0.02) -> DataFrame:
+    """One row of what a packing must keep, from the packing alone.
+
+    n_items; overfull: containers that hold more than the capacity; overlapping: parts
+    that begin before the one before them in their container has ended; gaps: parts that begin after that; wrongly_split: items in several parts
+    although they would fit, or with a part but the last that isn't full; well_filled: whether there are at most a share
+    of ``tightness`` more containers than the tokens need at least, and one more for each group.
+
+    A container's parts are sorted within it; it has no more than its capacity.
+    """
+    in_order = Window.partitionBy("container").orderBy("position")
+    ends = F.lag(F.col("position") + F.col("n_tokens"), 1, 0).over(in_order)
+    placed = packed.withColumn("_gap", F.col("position") - ends)
+    containers = placed.groupBy("container").agg(
+        F.sum("n_tokens").alias("used"), F.count_if(F.col("_gap") < 0).alias("overlapping"), F.count_if(F.col("_gap") > 0).alias("gaps")
+    )
+    by_container = containers.agg(
+        F.count_if(F.col("used") > capacity).alias("overfull"),
+        F.coalesce(F.sum("overlapping"), F.lit(0)).alias("overlapping"),
+        F.coalesce(F.sum("gaps"), F.lit(0)).alias("gaps"),
+        F.count(F.lit(1)).alias("n_containers"),
+        F.count_distinct(F.substring_index("container", ":", 1)).alias("n_groups"),
+        F.coalesce(F.sum("used"), F.lit(0)).alias("n_tokens"),
+    )
+    items = packed.groupBy(identity).agg(F.sum("n_tokens").alias("size"), F.max("part").alias("last"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("n_tokens") == capacity).alias("full"))
+    fits = F.col("size") <= capacity
+    wrong = (fits & (F.col("n") > 1)) | (~fits & ((F.col("n") != F.ceil(F.col("size") / capacity)) | (F.col("last") != F.col("n") - 1) | (F.col("full") < F.col("n") - 1)))
+    by_item = items.agg(F.count(F.lit(1)).alias("n_items"), F.count_if(wrong).alias("wrongly_split"))
+    least = F.ceil(F.col("n_tokens") / capacity)
+    filled = (F.col("n_containers") <= F.ceil(least * (1 + tightness)) + F.col("n_groups")).alias("well_filled")
+    split = [by_item.select(c).scalar().alias(c) for c in ("n_items", "wrongly_split")]
+    return by_container.select(*split, "overfull", "overlapping", "gaps", filled)
