@@ -18,6 +18,8 @@ BODY = (
 )
 # Names of the columns of the split layout.
 COLUMNS = {"open": "Open", "high": "High", "low": "Low", "close": "Close", "volume": "Volume", "dividend": "Dividends", "split": "Stock Splits"}
+#: Without one of these a frame is no frame of bars, which stops the job; the columns of actions may be missing.
+REQUIRED = ("open", "high", "low", "close", "volume")
 BASIS = {"alpaca": "raw", "yahoo": "vendor_adjusted"}
 
 
@@ -31,13 +33,18 @@ def _price(value: Column) -> Column:
     return value.try_cast("decimal(18,4)")
 
 
+def _whole(value: Column) -> Column:
+    """A whole number; null if the value isn't one."""
+    return F.when(value == F.floor(value), value.try_cast("long"))
+
+
 def _mapped_bar(bar: Column) -> Column:
     return F.struct(
         bar["t"].alias("stamp"),
         *[_price(bar[k[0]]).alias(k) for k in ("open", "high", "low", "close")],
-        bar["v"].try_cast("long").alias("volume"),
+        _whole(bar["v"]).alias("volume"),
         bar["vw"].try_cast("decimal(18,6)").alias("vwap"),
-        bar["n"].try_cast("long").alias("trade_count"),
+        _whole(bar["n"]).alias("trade_count"),
         F.lit(None).cast("double").alias("dividend"),
         F.lit(None).cast("double").alias("split"),
     )
@@ -45,8 +52,11 @@ def _mapped_bar(bar: Column) -> Column:
 
 def _framed_bar(columns: Column, stamp: Column, row: Column) -> Column:
     def value(name: str) -> Column:
-        # by name, wherever the column stands; null where the column or the row's value is missing
-        return F.try_element_at(row, F.nullif(F.array_position(columns, COLUMNS[name]), F.lit(0)).cast("int"))
+        # by name, wherever the column stands; null where the row's value is missing
+        place = F.nullif(F.array_position(columns, COLUMNS[name]), F.lit(0))
+        if name in REQUIRED:
+            place = F.coalesce(place, F.raise_error(F.concat(F.lit(f"no column {COLUMNS[name]} in "), F.to_json(columns))).cast("long"))
+        return F.try_element_at(row, place.cast("int"))
 
     return F.struct(
         stamp.alias("stamp"),
@@ -65,9 +75,10 @@ def delivered_bars(bronze: DataFrame) -> DataFrame:
     Columns: bronze_id, bar_no, security_id, source, price_basis, trade_date, open, high, low, close
     (decimal(18,4), half up), volume, vwap (decimal(18,6)), trade_count, dividend, split,
     source_ingested_at, source_run_id. A map payload's bars are those under the row's own vendor_symbol;
-    a frame's columns are found by name. Null, empty or malformed payloads and a missing symbol give no
-    rows (``unparsed`` counts them); a value of a wrong type is null and is left to the table's NOT NULL
-    check. bar_no counts the bars of the payload from 0.
+    a frame's columns are found by name, and a frame with rows but without one of ``REQUIRED`` is an error. Null, empty or malformed
+    payloads and a missing symbol give no rows (``unparsed`` counts them); a value of a wrong type, a count with a fraction
+    in a map payload too, is null and is left to the table's NOT NULL check; a frame's volumes are
+    doubles and lose their fraction. bar_no counts the bars of the payload from 0.
     """
     body = F.col("body")
     mapped = F.transform(F.try_element_at(body["bars"], F.col("vendor_symbol")), _mapped_bar)
@@ -102,14 +113,23 @@ def bars(delivered: DataFrame) -> DataFrame:
 
 
 def actions(delivered: DataFrame) -> DataFrame:
-    """Dividends and splits as rows; one date may have both, and zeros and nulls are none."""
-    events = F.array(
-        F.struct(F.lit("dividend").alias("action_type"), F.col("dividend").alias("value")),
-        F.struct(F.lit("split").alias("action_type"), F.col("split").alias("value")),
-    )
-    rows = delivered.select("bronze_id", "security_id", F.col("trade_date").alias("ex_date"), "source", "source_ingested_at", "source_run_id", F.inline(events))
-    real = rows.where("value IS NOT NULL AND value <> 0")
-    return real.withColumn("value", F.col("value").try_cast("decimal(18,6)"))
+    """Dividends and splits as rows; one date may have both, and zeros and nulls are none.
+
+    Only bars that have one are turned from columns into rows.
+    """
+    kept = ["bronze_id", "security_id", "trade_date", "source", "source_ingested_at", "source_run_id"]
+    with_any = delivered.where(F.greatest(F.abs("dividend"), F.abs("split")) > 0)
+    rows = with_any.unpivot(kept, ["dividend", "split"], "action_type", "amount").where(F.col("amount") != 0)
+    return rows.withColumnRenamed("trade_date", "ex_date").withColumn("value", F.col("amount").try_cast("decimal(18,6)")).drop("amount")
+
+
+def record_counts(bronze: DataFrame) -> DataFrame:
+    """bronze_id and n_records: bars of the symbol asked for in each payload; 0 where there are none or the payload is malformed."""
+    body = F.col("body")
+    mapped = F.size(F.coalesce(F.try_element_at(body["bars"], F.col("vendor_symbol")), F.expr("array()")))
+    framed = F.size(F.coalesce(body["index"], F.expr("array()")))
+    rows = parsed(spread(bronze.select("bronze_id", "vendor_symbol", "payload")))
+    return rows.select("bronze_id", F.when(body["bars"].isNotNull(), mapped).otherwise(framed).alias("n_records"))
 
 
 def unparsed(bronze: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,10 @@ def close_ratio(bars: DataFrame, first: str, second: str) -> DataFrame:
     return closes.where("a IS NOT NULL AND b IS NOT NULL AND b <> 0").select(
         "security_id", "trade_date", F.round(F.col("a") / F.col("b"), 2).alias("ratio")
     )
+
+
+def ratio_days(ratios: DataFrame, chosen: Column) -> DataFrame:
+    """security_id, days, first_day, last_day of the days whose ratio is among those chosen."""
+    return ratios.where(chosen).groupBy("security_id").agg(
+        F.count(F.lit(1)).alias("days"), F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day")
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import sessions, symbology
 from tidemark.functions.hashing import row_hash
 from tidemark.functions.text import folded, iso_seconds
-from tidemark.operators import history, latest_wins, payload, quality, reconcile, scd2
+from tidemark.operators import exactly_once, history, latest_wins, payload, quality, reconcile, scd2
 from tidemark.plans.repair import _P3_STAMPS, _UTC
-from tidemark.session import staging_path
-from tidemark.sources import schemas
+from tidemark.session import cut, staging_path
+from tidemark.sources import schemas, vendors
 from tidemark.sources.tables import table
 from tidemark.sources.versioned import VersionedTable, find_tables
 from tidemark.streaming import deliveries
@@ -22,6 +22,9 @@ SOURCES = ("alpaca", "yahoo")
 TRACKED = ("issuer_id", "exchange_ticker", "security_name", "yfinance_sector", "alpaca_tradable")
 #: An instant inside the data's time, to read and to split deliveries at.
 INSTANT = "2025-07-01 00:00:00"
+#: When the master is taken to have been built, before its first snapshot.
+BUILT = "2026-04-01 00:00:00"
+FIRST_DAY, LAST_DAY = date(2024, 3, 1), date(2024, 5, 31)
 
 
 def _versions(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,9 +115,41 @@ def payload_bars(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _frames(spark: SparkSession, folder: str) -> DataFrame:
+    """corporate_actions as frames a vendor would deliver, one per security and day, as rows of bronze."""
+    value = lambda kind: F.max(F.when(F.col("action_type") == kind, F.col("value").cast("double")))
+    days = table(spark, folder, "corporate_actions").groupBy("security_id", "ex_date").agg(value("dividend").alias("dividend"), value("split").alias("split"))
+    numbers = [F.lit(1.0)] * 5 + [F.coalesce(c, F.lit(0.0)) for c in ("dividend", "split")]
+    frame = F.struct(
+        F.array(*[F.lit(payload.COLUMNS[c]) for c in ("open", "high", "low", "close", "volume", "dividend", "split")]).alias("columns"),
+        F.array(F.col("ex_date").cast("string")).alias("index"),
+        F.array(F.array(*numbers)).alias("data"),
+    )
+    return days.select(
+        F.monotonically_increasing_id().alias("bronze_id"), "security_id", F.lit("x").alias("vendor_symbol"), F.lit(" Yahoo").alias("source"),
+        F.lit(INSTANT).cast("timestamp").alias("ingested_at"), F.lit("run").alias("run_id"), F.to_json(frame).alias("payload"),
+    )
+
+
 def payload_actions(spark: SparkSession, folder: str) -> DataFrame:
-    rows = payload.actions(payload.delivered_bars(table(spark, folder, "bronze")))
-    return rows.select("bronze_id", "security_id", F.date_format("ex_date", "yyyy-MM-dd").alias("ex_date"), "action_type", "value")
+    """The corporate actions, written as frames and read from them again."""
+    rows = payload.actions(payload.delivered_bars(_frames(spark, folder)))
+    return rows.select("security_id", F.date_format("ex_date", "yyyy-MM-dd").alias("ex_date"), "action_type", "source", "value")
+
+
+def payload_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return payload.record_counts(table(spark, folder, "bronze"))
+
+
+def actions_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries of actions before an instant and from it on, merged into a table one after the other."""
+    held = VersionedTable(spark, staging_path(spark, "actions"))
+    held.ensure(schemas.ACTIONS, layout="date_format(ex_date, 'yyyy')")
+    rows = table(spark, folder, "corporate_actions")
+    late = F.col("source_ingested_at") >= F.lit(INSTANT).cast("timestamp")
+    for part in (rows.where(~late), rows.where(late)):
+        latest_wins.merge_latest(held, part, schemas.ACTION_KEYS, ["value"])
+    return _as_text(held.read(), "source_ingested_at", "first_seen_at", "updated_at")
 
 
 def payload_unparsed(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,6 +220,21 @@ def bars_overview(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bars_total(spark: SparkSession, folder: str) -> DataFrame:
+    return _bars(spark, folder).agg(F.count(F.lit(1)).alias("bars"))
+
+
+def bars_in_range(spark: SparkSession, folder: str) -> DataFrame:
+    rows = payload.in_range(_bars(spark, folder), "trade_date", F.lit(FIRST_DAY), F.lit(LAST_DAY))
+    return rows.groupBy("source").agg(F.count(F.lit(1)).alias("bars"), F.count_distinct("trade_date").alias("sessions"))
+
+
+def ratio_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days on which the vendors' closes are in another ratio than one, by security."""
+    latest = latest_wins.latest_per_key(_bars(spark, folder), schemas.BAR_KEYS, [*schemas.BAR_KEYS, "close"])
+    return quality.ratio_days(quality.close_ratio(latest, *SOURCES), F.col("ratio") != 1)
+
+
 def revision_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return latest_wins_history(spark, folder).groupBy("source", "revision_count").agg(F.count(F.lit(1)).alias("n_bars"))
 
@@ -230,30 +280,91 @@ def issuer_shared(spark: SparkSession, folder: str) -> DataFrame:
     return master.join(shared, "issuer_id", "left_semi").select("issuer_id", "security_id", "exchange_ticker")
 
 
-def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
-    """The current master taken apart into its sources and reconciled again.
+def issuer_ids(spark: SparkSession, folder: str) -> DataFrame:
+    ids = table(spark, folder, "security_master").select("cik").distinct()
+    return ids.select("cik", symbology.issuer_id(F.col("cik")).alias("issuer_id"))
+
+
+def vendor_symbols(spark: SparkSession, folder: str) -> DataFrame:
+    return _current(spark, folder).select("security_id", *[reconcile.vendor_symbol(s).alias(f"{s}_symbol") for s in SOURCES])
+
 
-    Reads count as failed where a source's column is null; the first version of each security is the
-    previous build.
+def vendor_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests to both vendors for the bars of a range, their parameters as JSON."""
+    master = _current(spark, folder)
+    asked = [vendors.bar_requests(master.select("security_id", reconcile.vendor_symbol(s).alias("vendor_symbol")), s, FIRST_DAY, LAST_DAY) for s in SOURCES]
+    sorted_ = F.map_from_entries(F.array_sort(F.map_entries("params")))
+    return asked[0].union(asked[1]).select("source", "security_id", F.to_json(sorted_).alias("params"))
+
+
+def _figi_answers(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mapping service would say of the master's securities.
+
+    Share classes have two matches, securities of no sector aren't found, and those without a tradable flag are found as another listing.
     """
     master = _current(spark, folder)
+    composite = F.when(F.col("alpaca_tradable").isNull(), F.col("share_class_figi")).otherwise(F.col("security_id"))
+    match = F.struct(
+        F.col("security_id").alias("figi"), composite.alias("compositeFIGI"), F.col("figi_ticker").alias("ticker"), F.col("security_name").alias("name"),
+        F.col("security_type").alias("securityType2"), F.col("share_class_figi").alias("shareClassFIGI"),
+    )
+    found = F.when(F.col("exchange_ticker").like("%.%"), F.array(match, match)).otherwise(F.array(match))
+    answer = F.when(F.col("yfinance_sector").isNull(), F.lit('{"warning":"No identifier found."}')).otherwise(F.to_json(F.struct(found.alias("data"))))
+    return master.select("security_id", answer.alias("answer"))
+
+
+def figi_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    return reconcile.figi_lookup(_figi_answers(spark, folder))
+
+
+def stale_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Tickers of the securities' first versions that the mapping service no longer gives."""
+    first = table(spark, folder, "security_master").groupBy("security_id").agg(F.min(F.struct("valid_from", "exchange_ticker")).alias("v"))
+    return reconcile.stale_labels(_figi_answers(spark, folder), first.select("security_id", F.col("v.exchange_ticker").alias("label")))
+
 
-    def failed(column: str, says: str) -> Column:
-        return F.when(F.col(column).isNull(), says)
+def _sec_content(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries of tradable securities as the register publishes them, those of one match key once."""
+    known = _current(spark, folder).where("sec_ticker IS NOT NULL AND alpaca_tradable")
+    once = known.groupBy(symbology.match_key(F.col("sec_ticker")).alias("match_key")).agg(F.max(F.struct("cik", "sec_ticker", "sec_company_name")).alias("s"))
+    entry = F.struct(F.col("s.cik").alias("cik_str"), F.col("s.sec_ticker").alias("ticker"), F.col("s.sec_company_name").alias("title"))
+    return once.select(F.to_json(F.create_map(F.lit("0"), entry)).alias("content"))
 
-    figi = master.select(
-        "security_id", "share_class_figi", "exchange_ticker", "security_name", "security_type", "figi_ticker",
-        F.when(F.col("exchange_ticker").like("%.%"), "several matches").alias("figi_error"),
+
+def sec_tickers(spark: SparkSession, folder: str) -> DataFrame:
+    return reconcile.distinct_sec_tickers(reconcile.sec_tickers(_sec_content(spark, folder)))
+
+
+def _vendor_answers(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Both vendors' answers about the master's securities; none where the name or the tradable flag is missing."""
+    master = _current(spark, folder)
+    info = F.struct(
+        F.col("yfinance_symbol").alias("symbol"), F.when(F.col("yfinance_sector").isNull(), "").otherwise(F.col("yfinance_name")).alias("longName"),
+        F.col("security_name").alias("shortName"), F.col("yfinance_exchange").alias("exchange"), F.col("yfinance_sector").alias("sector"),
+    )
+    asset = F.struct(
+        F.col("alpaca_asset_id").alias("id"), F.col("alpaca_symbol").alias("symbol"), F.col("alpaca_exchange").alias("exchange"), F.col("alpaca_tradable").alias("tradable"),
     )
-    known = master.where("sec_ticker IS NOT NULL AND alpaca_tradable")
-    sec = known.groupBy(symbology.match_key(F.col("sec_ticker")).alias("match_key")).agg(
-        F.max(F.struct("issuer_id", "cik", "sec_ticker", "sec_company_name")).alias("s")
-    ).select("match_key", "s.*")
-    yahoo = master.select("security_id", *reconcile.VENDOR_COLUMNS["yfinance"], failed("yfinance_sector", "timeout").alias("yfinance_error"))
-    alpaca = master.select("security_id", *reconcile.VENDOR_COLUMNS["alpaca"], failed("alpaca_tradable", "no API key configured").alias("alpaca_error"))
+
+    def answers(missing: Column, error: str, body: Column) -> DataFrame:
+        return master.select("security_id", F.when(~missing, F.to_json(body)).alias("answer"), F.when(missing, error).alias("error"))
+
+    yahoo = answers(F.col("yfinance_name").isNull(), "timeout", info)
+    return reconcile.yahoo_info(yahoo), reconcile.alpaca_assets(answers(F.col("alpaca_tradable").isNull(), "no API key configured", asset))
+
+
+def vendor_lookups(spark: SparkSession, folder: str) -> DataFrame:
+    yahoo, alpaca = _vendor_answers(spark, folder)
+    return yahoo.join(alpaca, "security_id")
+
+
+def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
+    """The current master as its sources would give it, read and reconciled again; the first version of each security is the previous build."""
+    yahoo, alpaca = _vendor_answers(spark, folder)
     carried = [c for columns in reconcile.VENDOR_COLUMNS.values() for c in columns]
     first = table(spark, folder, "security_master").groupBy("security_id").agg(F.min(F.struct("valid_from", *carried)).alias("v"))
-    return reconcile.reconciled(figi, sec, yahoo, alpaca, first.select("security_id", *[F.col(f"v.{c}") for c in carried]))
+    previous = first.select("security_id", *[F.col(f"v.{c}") for c in carried])
+    return reconcile.reconciled(figi_lookup(spark, folder), reconcile.sec_tickers(_sec_content(spark, folder)), yahoo, alpaca, previous)
 
 
 def reconcile_resolved(spark: SparkSession, folder: str) -> DataFrame:
@@ -269,6 +380,24 @@ def quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile_quarantined(spark, folder).groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("n_securities"))
 
 
+def build_report(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows each part of a build's report has, and failed lookups by message."""
+    parts = reconcile.report(*reconcile.split(_reconciled(spark, folder)), *_vendor_answers(spark, folder))
+    counts = [rows.agg(F.lit(name).alias("part"), F.lit("").alias("error"), F.count(F.lit(1)).alias("n")) for name, rows in parts.items() if not name.endswith("failures")]
+    failed = [rows.select(F.lit(name).alias("part"), "error", F.col("n_securities").alias("n")) for name, rows in parts.items() if name.endswith("failures")]
+    out = counts[0]
+    for rows in [*counts[1:], *failed]:
+        out = out.union(rows)
+    return out
+
+
+def last_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """For every session but the first the one before it, and the start of five years up to that, from the calendar's rules."""
+    days = [r[0] for r in table(spark, folder, "trading_days").select("trade_date").orderBy("trade_date").collect()]  # a calendar
+    rows = [(str(d), *map(str, reversed(sessions.default_range(d)))) for d in days[1:]]
+    return spark.createDataFrame(rows, "trade_date string, last_session string, range_start string")
+
+
 def session_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """First and last second of every session's day, from the calendar's rules over the days of the table."""
     ends = table(spark, folder, "trading_days").agg(F.min("trade_date"), F.max("trade_date")).first()
@@ -277,42 +406,81 @@ def session_bounds(spark: SparkSession, folder: str) -> DataFrame:
     return days.select(F.date_format("trade_date", "yyyy-MM-dd").alias("trade_date"), iso_seconds(first).alias("first_second"), iso_seconds(last).alias("last_second"))
 
 
-def _demo_table(spark: SparkSession, folder: str) -> VersionedTable:
-    """The sectors of the first and then of the last versions of the master, merged into a table."""
-    root = staging_path(spark, "lake")
-    held = VersionedTable(spark, f"{root}/reference/sectors")
-    versions = _versions(spark, folder).where("security_id IS NOT NULL")
-    pick = lambda f: versions.groupBy("security_id").agg(f("yfinance_sector", "valid_from").alias("sector"))
-    scd2.ensure_table(held, schemas.schema(schemas.fields("security_id string"), schemas.fields(optional="sector string")))
-    scd2.merge_snapshot(held, pick(F.min_by), "security_id", datetime(2022, 1, 1))
-    scd2.merge_snapshot(held, pick(F.max_by), "security_id", datetime(2026, 1, 1))
-    scd2.merge_snapshot(held, pick(F.max_by), "security_id", datetime(2026, 2, 1))
-    return held
+_MADE: dict[tuple[str, str], tuple[str, list[int]]] = {}
+
+
+def _lake(spark: SparkSession, folder: str) -> tuple[str, list[int]]:
+    """A lake of the folder's data, made once in an application: its root, and the master's version after every merge.
+
+    The whole current master and then all snapshots in turn are merged into one table; bronze is appended to two.
+    """
+    made_for = (spark.sparkContext.applicationId, folder)
+    if made_for not in _MADE:
+        root = staging_path(spark, "lake")
+        master = VersionedTable(spark, f"{root}/reference/security_master")
+        optional = "issuer_id string, exchange_ticker string, security_name string, yfinance_sector string, alpaca_tradable boolean"
+        scd2.ensure_table(master, schemas.schema(schemas.fields("security_id string"), schemas.fields(optional=optional)), "security_id", 4)
+        scd2.merge_snapshot(master, _current(spark, folder).select("security_id", *TRACKED), "security_id", BUILT)
+        versions = [master.versions()[-1]]
+        snapshots = cut(_snapshots(spark, folder))
+        times = [r[0] for r in snapshots.select(iso_seconds(F.col("at")).alias("at")).distinct().orderBy("at").collect()]  # of snapshots
+        for at in times:
+            rows = snapshots.where(F.col("at") == F.lit(at).cast("timestamp")).select("security_id", *TRACKED)
+            scd2.merge_snapshot(master, rows, "security_id", at)
+            versions.append(master.versions()[-1])
+        for source in SOURCES:
+            rows = table(spark, folder, "bronze").where(folded(F.col("source")) == source)
+            held = VersionedTable(spark, f"{root}/bronze/{source}_bars")
+            held.ensure(rows.schema)
+            held.append(rows)
+        _MADE[made_for] = root, versions
+    return _MADE[made_for]
+
+
+def _master_table(spark: SparkSession, folder: str) -> VersionedTable:
+    return VersionedTable(spark, f"{_lake(spark, folder)[0]}/reference/security_master")
 
 
 def table_time_travel(spark: SparkSession, folder: str) -> DataFrame:
-    """The first merge's rows, read after the second."""
-    return _demo_table(spark, folder).read(1).select("security_id", "sector", "is_current")
+    """The master after its third snapshot, read after all."""
+    version = _lake(spark, folder)[1][3]
+    return _as_text(_master_table(spark, folder).read(version).select("security_id", *TRACKED, "valid_from", "valid_to", "is_current"), "valid_from", "valid_to")
 
 
 def table_merged(spark: SparkSession, folder: str) -> DataFrame:
-    return _as_text(_demo_table(spark, folder).read().select("security_id", "sector", "valid_from", "valid_to", "is_current"), "valid_from", "valid_to")
+    """The master after the whole of it and all snapshots were merged in turn."""
+    return _as_text(_master_table(spark, folder).read().select("security_id", *TRACKED, "row_hash", "valid_from", "valid_to", "is_current"), "valid_from", "valid_to")
 
 
 def table_history(spark: SparkSession, folder: str) -> DataFrame:
-    """The commits of the table: a merge without a change makes none."""
-    return _demo_table(spark, folder).history().select("version", "operation", F.col("metrics")["new"].alias("n_new"))
+    """The commits of the master; a merge without a change makes none."""
+    metrics = F.col("metrics")
+    return _master_table(spark, folder).history().select("version", "operation", metrics["new"].alias("n_new"), metrics["changed"].alias("n_changed"))
 
 
 def table_catalog(spark: SparkSession, folder: str) -> DataFrame:
-    held = _demo_table(spark, folder)
-    names = find_tables(spark, held.path.removesuffix("/reference/sectors"))
-    return names.select("name", held.properties().select("value").scalar().alias("constraint"))
+    """The tables of the lake with what their metadata and their rows say."""
+    out = None
+    for name, path in find_tables(spark, _lake(spark, folder)[0]).collect():
+        held = VersionedTable(spark, path)
+        detail = held.detail().select(F.lit(name).alias("name"), (F.col("num_files") > 0).alias("has_files"), (F.col("size_in_bytes") > 0).alias("has_bytes"))
+        counted = held.read().agg(F.count(F.lit(1)).alias("n_rows"))
+        rows = detail.select("*", counted.scalar().alias("n_rows"), F.coalesce(held.properties().agg(F.max("value")).scalar(), F.lit("")).alias("constraint"))
+        out = rows if out is None else out.union(rows)
+    return out
 
 
 def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = deliveries.window_counts(deliveries.read_stream(spark, f"{folder}/bronze.parquet"))
-    return _as_text(deliveries.run_to_end(counts, "counts", "complete"), "window_start")
+    return _as_text(deliveries.run_to_end(counts, "counts", ["window_start", "source"]), "window_start")
+
+
+def stream_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages by source in the stream of deliveries, each once."""
+    without = [F.col(c) for c in ("security_id", "request_start", "request_end", "page", "run_id")]
+    key = exactly_once.message_key(F.col("response_id"), F.col("source"), without)
+    kept = deliveries.run_to_end(deliveries.once(deliveries.read_stream(spark, f"{folder}/bronze.parquet"), key), "once")
+    return kept.groupBy(folded(F.col("source")).alias("source")).agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
@@ -341,7 +509,9 @@ SHOWN = {
     "bars_overview": ("first_day", "last_day"),
     "top_recent_bars": ("trade_date", "close"),
     "exact_price_sum": ("close_sum",),
-    "table_history": ("n_new",),
+    "table_history": ("n_new", "n_changed"),
+    "actions_merged": ("ex_date", "value"),
+    "ratio_days": ("first_day", "last_day"),
     "stream_bars": ("trade_date", "close"),
 }
 
@@ -360,11 +530,12 @@ QUERIES = {
     for f in (
         scd2_history, scd2_merge, scd2_current, scd2_as_of, scd2_changed_keys, scd2_invariant,
         latest_per_key, latest_wins_history, latest_wins_merge, row_hashes,
-        payload_bars, payload_actions, payload_unparsed, silver_bars, bronze_range_overlap, empty_responses, request_fields, run_summary,
-        completeness_missing, completeness_by_day, vendor_ratio_histogram, vendor_pivot_by_year, bars_overview, revision_histogram,
+        payload_bars, payload_actions, payload_counts, payload_unparsed, actions_merged, silver_bars, bronze_range_overlap, empty_responses, request_fields, run_summary,
+        completeness_missing, completeness_by_day, vendor_ratio_histogram, ratio_days, vendor_pivot_by_year, bars_overview, bars_total, bars_in_range, revision_histogram,
         top_recent_bars, exact_price_sum, actions_by_type,
+        issuer_ids, vendor_symbols, vendor_requests, figi_lookup, stale_labels, sec_tickers, vendor_lookups, build_report, last_sessions,
         symbol_spellings, match_key_collisions, ticker_mismatch, issuer_shared, reconcile_resolved, reconcile_quarantined, quarantine_reasons,
-        session_bounds, table_time_travel, table_merged, table_history, table_catalog, stream_window_counts, stream_bars,
+        session_bounds, table_time_travel, table_merged, table_history, table_catalog, stream_window_counts, stream_once, stream_bars,
     )
 }
 
@@ -414,9 +585,9 @@ _DELIVERED = (
     CAST(CASE WHEN mapped THEN CAST(bar->>'h' AS DOUBLE) ELSE v[list_position(names, 'High')] END AS DECIMAL(18,4)) AS high,
     CAST(CASE WHEN mapped THEN CAST(bar->>'l' AS DOUBLE) ELSE v[list_position(names, 'Low')] END AS DECIMAL(18,4)) AS low,
     CAST(CASE WHEN mapped THEN CAST(bar->>'c' AS DOUBLE) ELSE v[list_position(names, 'Close')] END AS DECIMAL(18,4)) AS close,
-    CAST(trunc(CASE WHEN mapped THEN CAST(bar->>'v' AS DOUBLE) ELSE v[list_position(names, 'Volume')] END) AS BIGINT) AS volume,
+    CAST(trunc(CASE WHEN NOT mapped THEN v[list_position(names, 'Volume')] WHEN CAST(bar->>'v' AS DOUBLE) = trunc(CAST(bar->>'v' AS DOUBLE)) THEN CAST(bar->>'v' AS DOUBLE) END) AS BIGINT) AS volume,
     CAST(CASE WHEN mapped THEN CAST(bar->>'vw' AS DOUBLE) END AS DECIMAL(18,6)) AS vwap,
-    CAST(trunc(CASE WHEN mapped THEN CAST(bar->>'n' AS DOUBLE) END) AS BIGINT) AS trade_count,
+    CAST(CASE WHEN mapped AND CAST(bar->>'n' AS DOUBLE) = trunc(CAST(bar->>'n' AS DOUBLE)) THEN CAST(bar->>'n' AS DOUBLE) END AS BIGINT) AS trade_count,
     CASE WHEN NOT mapped THEN v[list_position(names, 'Dividends')] END AS dividend,
     CASE WHEN NOT mapped THEN v[list_position(names, 'Stock Splits')] END AS split
   FROM valued
@@ -425,29 +596,59 @@ _DELIVERED = (
 )
 """
 )
-_RECONCILED = f"""
-WITH {_CURRENT}, sec AS (
-  SELECT translate(upper(trim(sec_ticker)), '-/ ', '...') AS match_key, max(struct_pack(i := issuer_id, c := cik, t := sec_ticker, n := sec_company_name)) AS s
+_FOUND = "c.yfinance_sector IS NOT NULL AND c.exchange_ticker NOT LIKE '%.%' AND c.alpaca_tradable IS NOT NULL"
+_FIGI_ERROR = """CASE WHEN c.yfinance_sector IS NULL THEN 'No identifier found.' WHEN c.exchange_ticker LIKE '%.%' THEN '2 matches'
+      WHEN c.alpaca_tradable IS NULL THEN 'not a composite FIGI (composite is ' || coalesce(c.share_class_figi, 'none') || ')' END"""
+_SEC = """sec AS (
+  SELECT translate(upper(trim(sec_ticker)), '-/ ', '...') AS match_key, max(struct_pack(c := cik, t := sec_ticker, n := sec_company_name)) AS s
   FROM cur WHERE sec_ticker IS NOT NULL AND alpaca_tradable GROUP BY 1
-), prev AS (
+)"""
+_YAHOO_NAME = "CASE WHEN c.yfinance_sector IS NOT NULL THEN coalesce(nullif(c.yfinance_name, ''), nullif(c.security_name, '')) ELSE nullif(c.security_name, '') END"
+_RECONCILED = f"""
+WITH {_CURRENT}, {_SEC}, prev AS (
   SELECT * FROM (SELECT DISTINCT * FROM security_master) QUALIFY row_number() OVER (PARTITION BY security_id ORDER BY valid_from) = 1
+), looked AS (
+  SELECT c.security_id, {_FIGI_ERROR} AS figi_error, CASE WHEN {_FOUND} THEN replace(c.figi_ticker, '/', '.') END AS exchange_ticker,
+    CASE WHEN {_FOUND} THEN c.figi_ticker END AS figi_ticker, c.yfinance_name IS NULL AS no_yahoo, c.alpaca_tradable IS NULL AS no_alpaca,
+    c.yfinance_symbol, c.yfinance_sector, c.alpaca_symbol, c.alpaca_tradable
+  FROM cur c
 ), joined AS (
-  SELECT c.security_id, c.exchange_ticker, c.figi_ticker, s.s.i AS issuer_id, s.s.t AS sec_ticker,
-    CASE WHEN c.exchange_ticker LIKE '%.%' THEN 'OpenFIGI: several matches' WHEN s.s.i IS NULL THEN 'no SEC match' END AS quarantine_reason,
-    CASE WHEN c.yfinance_sector IS NULL THEN p.yfinance_symbol ELSE c.yfinance_symbol END AS yfinance_symbol,
-    CASE WHEN c.yfinance_sector IS NULL THEN p.yfinance_sector ELSE c.yfinance_sector END AS yfinance_sector,
-    CASE WHEN c.alpaca_tradable IS NULL THEN p.alpaca_symbol ELSE c.alpaca_symbol END AS alpaca_symbol,
-    CASE WHEN c.alpaca_tradable IS NULL THEN p.alpaca_tradable ELSE c.alpaca_tradable END AS alpaca_tradable
-  FROM cur c LEFT JOIN sec s ON s.match_key = translate(upper(trim(c.exchange_ticker)), '-/ ', '...') LEFT JOIN prev p ON p.security_id = c.security_id
+  SELECT c.security_id, c.exchange_ticker, c.figi_ticker, CASE WHEN s.s IS NOT NULL THEN 'CIK' || lpad(CAST(s.s.c AS VARCHAR), 10, '0') END AS issuer_id, s.s.t AS sec_ticker,
+    CASE WHEN c.figi_error IS NOT NULL THEN 'OpenFIGI: ' || c.figi_error WHEN s.s IS NULL THEN 'no SEC match' END AS quarantine_reason,
+    CASE WHEN no_yahoo THEN p.yfinance_symbol ELSE c.yfinance_symbol END AS yfinance_symbol,
+    CASE WHEN no_yahoo THEN p.yfinance_sector ELSE c.yfinance_sector END AS yfinance_sector,
+    CASE WHEN no_alpaca THEN p.alpaca_symbol ELSE c.alpaca_symbol END AS alpaca_symbol,
+    CASE WHEN no_alpaca THEN p.alpaca_tradable ELSE c.alpaca_tradable END AS alpaca_tradable
+  FROM looked c LEFT JOIN sec s ON s.match_key = translate(upper(trim(c.exchange_ticker)), '-/ ', '...') LEFT JOIN prev p ON p.security_id = c.security_id
 )
 """
 _DIFFER = "len(list_distinct(list_filter([figi_ticker, sec_ticker, yfinance_symbol, alpaca_symbol], lambda x: x IS NOT NULL AND x <> ''))) > 1"
-_SECTORS = """
-WITH v AS (SELECT DISTINCT * FROM security_master), s AS (
-  SELECT security_id, (max_by(struct_pack(x := yfinance_sector), valid_from)).x AS last, (min_by(struct_pack(x := yfinance_sector), valid_from)).x AS first FROM v GROUP BY security_id
+_MASTER = f"""
+WITH {_CURRENT}, {_SNAPS}, states AS (
+  SELECT security_id, {_TRACKED}, TIMESTAMPTZ '{BUILT}+00' AS moment FROM cur UNION ALL BY NAME SELECT security_id, {_TRACKED}, snapshot_at AS moment FROM snaps
+), hashed AS (
+  SELECT *, {_hash(*TRACKED)} AS row_hash FROM states
+), begun AS (
+  SELECT * FROM (SELECT *, lag(row_hash) OVER (PARTITION BY security_id ORDER BY moment) AS before FROM hashed) WHERE before IS NULL OR before <> row_hash
 )
 """
 
+
+def _master_versions(where: str, more: str = "") -> str:
+    return f"""
+        SELECT security_id, {_TRACKED}, {more} {_utc("moment")} AS valid_from, {_utc("lead(moment) OVER w")} AS valid_to, lead(moment) OVER w IS NULL AS is_current
+        FROM begun WHERE {where} WINDOW w AS (PARTITION BY security_id ORDER BY moment)
+    """
+
+
+_NOON = "timezone('America/New_York', TIMESTAMP '{0} 12:00:00')"
+
+
+def _offset(day: date) -> str:
+    """New York's offset on a day, from its distance to UTC at noon."""
+    return f"(CASE epoch(timezone('UTC', {_NOON.format(day)})) - epoch(TIMESTAMP '{day} 12:00:00') WHEN 18000 THEN '-05:00' ELSE '-04:00' END)"
+
+
 SQL = {
     "scd2_history": f"""
         WITH {_SNAPS}, h AS (SELECT *, {_hash(*TRACKED)} AS row_hash FROM snaps), b AS (
@@ -506,10 +707,29 @@ SQL = {
     "row_hashes": f"SELECT bar_id, {_hash(*schemas.BAR_VALUES)} AS value_hash FROM daily_bars",
     "payload_bars": _DELIVERED
     + "SELECT bronze_id, bar_no, security_id, source, price_basis, trade_date, open, high, low, close, volume, vwap, trade_count FROM delivered",
-    "payload_actions": _DELIVERED
-    + """
-        SELECT bronze_id, security_id, trade_date AS ex_date, 'dividend' AS action_type, CAST(dividend AS DECIMAL(18,6)) AS value FROM delivered WHERE dividend <> 0
-        UNION ALL SELECT bronze_id, security_id, trade_date, 'split', CAST(split AS DECIMAL(18,6)) FROM delivered WHERE split <> 0
+    "payload_actions": """
+        SELECT security_id, strftime(ex_date, '%Y-%m-%d') AS ex_date, action_type, 'yahoo' AS source, max(value) AS value
+        FROM corporate_actions WHERE action_type IN ('dividend', 'split') AND value <> 0 GROUP BY ALL
+    """,
+    "payload_counts": """
+        SELECT bronze_id, CAST(CASE WHEN NOT coalesce(json_valid(payload), false) THEN 0
+          WHEN json_type(payload, '$.bars') = 'OBJECT' THEN coalesce(json_array_length(payload, '$.bars."' || vendor_symbol || '"'), 0)
+          ELSE coalesce(json_array_length(payload, '$.index'), 0) END AS INTEGER) AS n_records FROM bronze
+    """,
+    "actions_merged": f"""
+        WITH acts AS (SELECT * EXCLUDE (value_hash), {_hash("value")} AS value_hash FROM corporate_actions),
+        t AS (SELECT * FROM acts WHERE source_ingested_at < TIMESTAMPTZ '{INSTANT}+00'
+          QUALIFY row_number() OVER (PARTITION BY security_id, ex_date, action_type, source ORDER BY source_ingested_at DESC, source_run_id DESC, value_hash DESC) = 1),
+        s AS (SELECT * FROM acts WHERE source_ingested_at >= TIMESTAMPTZ '{INSTANT}+00'
+          QUALIFY row_number() OVER (PARTITION BY security_id, ex_date, action_type, source ORDER BY source_ingested_at DESC, source_run_id DESC, value_hash DESC) = 1),
+        both_ AS (SELECT t, s, t.security_id IS NULL OR coalesce(t.value_hash <> s.value_hash, false) AS takes, t.security_id IS NOT NULL AND s.security_id IS NOT NULL AS met
+          FROM t FULL JOIN s ON t.security_id = s.security_id AND t.ex_date = s.ex_date AND t.action_type = s.action_type AND t.source = s.source)
+        SELECT coalesce(t.security_id, s.security_id) AS security_id, coalesce(t.ex_date, s.ex_date) AS ex_date, coalesce(t.action_type, s.action_type) AS action_type,
+          coalesce(t.source, s.source) AS source, CASE WHEN takes THEN s.value ELSE t.value END AS value, CASE WHEN takes THEN s.value_hash ELSE t.value_hash END AS value_hash,
+          {_utc("CASE WHEN takes THEN s.source_ingested_at ELSE t.source_ingested_at END")} AS source_ingested_at, CASE WHEN takes THEN s.source_run_id ELSE t.source_run_id END AS source_run_id,
+          {_utc("coalesce(t.source_ingested_at, s.source_ingested_at)")} AS first_seen_at, {_utc("CASE WHEN takes THEN s.source_ingested_at ELSE t.source_ingested_at END")} AS updated_at,
+          CAST(CASE WHEN met AND takes THEN 1 ELSE 0 END AS INTEGER) AS revision_count
+        FROM both_
     """,
     "payload_unparsed": """
         WITH r AS (SELECT lower(trim(source)) AS source, CASE WHEN payload IS NULL THEN 'null' WHEN trim(payload) = '' THEN 'blank' WHEN NOT json_valid(payload) THEN 'malformed'
@@ -566,6 +786,57 @@ SQL = {
         SELECT lower(trim(source)) AS source, price_basis, count(*) AS bars, count(DISTINCT security_id) AS securities, count(DISTINCT trade_date) AS sessions,
           min(trade_date) AS first_day, max(trade_date) AS last_day FROM daily_bars GROUP BY 1, 2
     """,
+    "bars_total": "SELECT count(*) AS bars FROM daily_bars",
+    "bars_in_range": f"""
+        SELECT lower(trim(source)) AS source, count(*) AS bars, count(DISTINCT trade_date) AS sessions FROM daily_bars
+        WHERE trade_date BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}' GROUP BY 1
+    """,
+    "ratio_days": f"""
+        WITH {_BARS}, l AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY security_id, trade_date, source
+          ORDER BY source_ingested_at DESC, source_run_id DESC, given_hash DESC, close DESC) = 1), r AS (
+        SELECT a.security_id, a.trade_date, CAST(floor(abs(CAST(a.close AS DECIMAL(38,10)) * 10000 / CAST(y.close AS DECIMAL(38,10)) + 50 * sign(a.close * y.close)) / 100) / 100
+            * sign(a.close * y.close) AS DECIMAL(18,2)) AS ratio
+        FROM l a JOIN l y ON a.security_id = y.security_id AND a.trade_date = y.trade_date
+        WHERE a.source = 'alpaca' AND y.source = 'yahoo' AND y.close <> 0)
+        SELECT security_id, count(*) AS days, min(trade_date) AS first_day, max(trade_date) AS last_day FROM r WHERE ratio <> 1 GROUP BY 1
+    """,
+    "issuer_ids": "SELECT DISTINCT cik, 'CIK' || lpad(CAST(cik AS VARCHAR), 10, '0') AS issuer_id FROM security_master",
+    "vendor_symbols": f"WITH {_CURRENT} SELECT security_id, coalesce(alpaca_symbol, exchange_ticker) AS alpaca_symbol, replace(exchange_ticker, '.', '-') AS yahoo_symbol FROM cur",
+    "vendor_requests": f"""
+        WITH {_CURRENT}, asked AS (
+          SELECT 'alpaca' AS source, security_id, '{{"adjustment":"raw","end":"{LAST_DAY}T23:59:59' || {_offset(LAST_DAY)} || '","feed":"sip","limit":"10000","start":"{FIRST_DAY}T00:00:00' || {_offset(FIRST_DAY)}
+            || '","symbols":"' || coalesce(alpaca_symbol, exchange_ticker) || '","timeframe":"1Day"}}' AS params FROM cur
+          UNION ALL SELECT 'yahoo', security_id, '{{"actions":"true","auto_adjust":"false","end":"' || strftime(DATE '{LAST_DAY}' + 1, '%Y-%m-%d')
+            || '","interval":"1d","start":"{FIRST_DAY}","symbol":"' || replace(exchange_ticker, '.', '-') || '"}}' FROM cur)
+        SELECT * FROM asked
+    """,
+    "figi_lookup": f"""
+        WITH {_CURRENT} SELECT security_id, CASE WHEN {_FOUND} THEN figi_ticker END AS figi_ticker, CASE WHEN {_FOUND} THEN replace(figi_ticker, '/', '.') END AS exchange_ticker,
+          CASE WHEN {_FOUND} THEN security_name END AS security_name, CASE WHEN {_FOUND} THEN security_type END AS security_type,
+          CASE WHEN {_FOUND} THEN share_class_figi END AS share_class_figi, {_FIGI_ERROR} AS figi_error FROM cur c
+    """,
+    "stale_labels": f"""
+        WITH {_CURRENT}, prev AS (
+          SELECT * FROM (SELECT DISTINCT * FROM security_master) QUALIFY row_number() OVER (PARTITION BY security_id ORDER BY valid_from) = 1
+        ), now AS (SELECT p.security_id, p.exchange_ticker AS label, CASE WHEN c.yfinance_sector IS NOT NULL THEN replace(c.figi_ticker, '/', '.') END AS current_ticker
+          FROM prev p JOIN cur c USING (security_id))
+        SELECT *, CASE WHEN current_ticker IS NULL THEN 'no longer resolves' ELSE 'renamed' END AS problem FROM now WHERE current_ticker IS DISTINCT FROM label
+    """,
+    "sec_tickers": f"""
+        WITH {_CURRENT}, {_SEC} SELECT match_key, 'CIK' || lpad(CAST(s.c AS VARCHAR), 10, '0') AS issuer_id, s.c AS cik, s.t AS sec_ticker, s.n AS sec_company_name FROM sec
+    """,
+    "vendor_lookups": f"""
+        WITH {_CURRENT} SELECT security_id, CASE WHEN yfinance_name IS NOT NULL THEN yfinance_symbol END AS yfinance_symbol, CASE WHEN yfinance_name IS NOT NULL THEN {_YAHOO_NAME} END AS yfinance_name,
+          CASE WHEN yfinance_name IS NOT NULL THEN yfinance_exchange END AS yfinance_exchange, CASE WHEN yfinance_name IS NOT NULL THEN yfinance_sector END AS yfinance_sector,
+          CASE WHEN yfinance_name IS NULL THEN 'timeout' END AS yfinance_error, CASE WHEN alpaca_tradable IS NOT NULL THEN alpaca_asset_id END AS alpaca_asset_id,
+          CASE WHEN alpaca_tradable IS NOT NULL THEN alpaca_symbol END AS alpaca_symbol, CASE WHEN alpaca_tradable IS NOT NULL THEN alpaca_exchange END AS alpaca_exchange,
+          alpaca_tradable, CASE WHEN alpaca_tradable IS NULL THEN 'no API key configured' END AS alpaca_error FROM cur c
+    """,
+    "last_sessions": """
+        WITH d AS (SELECT trade_date, lag(trade_date) OVER (ORDER BY trade_date) AS before FROM trading_days)
+        SELECT strftime(trade_date, '%Y-%m-%d') AS trade_date, strftime(before, '%Y-%m-%d') AS last_session, strftime(before - INTERVAL 5 YEAR, '%Y-%m-%d') AS range_start
+        FROM d WHERE before IS NOT NULL
+    """,
     "revision_histogram": f"""
         WITH {_BARS}, {_REPLAY.format(name="all", where="true")}
         SELECT source, CAST(revisions AS INTEGER) AS revision_count, count(*) AS n_bars FROM replayed_all GROUP BY 1, 2
@@ -607,20 +878,33 @@ SQL = {
         SELECT strftime(trade_date, '%Y-%m-%d') AS trade_date, {_utc("timezone('America/New_York', CAST(trade_date AS TIMESTAMP))")} AS first_second,
           {_utc("timezone('America/New_York', CAST(trade_date AS TIMESTAMP) + INTERVAL 1 DAY) - INTERVAL 1 SECOND")} AS last_second FROM trading_days
     """,
-    "table_time_travel": _SECTORS + "SELECT security_id, first AS sector, true AS is_current FROM s",
-    "table_merged": _SECTORS
+    "build_report": _RECONCILED
+    + f"""
+        , resolved AS (SELECT *, {_DIFFER} AS mismatch FROM joined WHERE quarantine_reason IS NULL)
+        SELECT 'mismatches' AS part, '' AS error, count(*) FILTER (WHERE mismatch) AS n FROM resolved
+        UNION ALL SELECT 'shared', '', count(*) FROM resolved WHERE issuer_id IN (SELECT issuer_id FROM resolved GROUP BY issuer_id HAVING count(*) > 1)
+        UNION ALL SELECT 'quarantined', '', count(*) FROM joined WHERE quarantine_reason IS NOT NULL
+        UNION ALL SELECT 'yfinance_failures', 'timeout', count(*) FROM looked WHERE no_yahoo HAVING count(*) > 0
+        UNION ALL SELECT 'alpaca_failures', 'no API key configured', count(*) FROM looked WHERE no_alpaca HAVING count(*) > 0
+    """,
+    "table_time_travel": _MASTER + _master_versions("moment <= (SELECT DISTINCT snapshot_at FROM master_snapshots ORDER BY 1 LIMIT 1 OFFSET 2)"),
+    "table_merged": _MASTER + _master_versions("true", "row_hash,"),
+    "table_history": _MASTER
     + """
-        SELECT security_id, first AS sector, '2022-01-01 00:00:00' AS valid_from, CASE WHEN first IS DISTINCT FROM last THEN '2026-01-01 00:00:00' END AS valid_to,
-          first IS NOT DISTINCT FROM last AS is_current FROM s
-        UNION ALL SELECT security_id, last, '2026-01-01 00:00:00', NULL, true FROM s WHERE first IS DISTINCT FROM last
+        , merges AS (SELECT moment, count(*) FILTER (WHERE before IS NULL) AS n_new, count(*) FILTER (WHERE before IS NOT NULL) AS n_changed FROM begun GROUP BY moment)
+        SELECT row_number() OVER (ORDER BY moment) AS version, 'MERGE SCD2' AS operation, n_new, n_changed FROM merges
+        UNION ALL SELECT 0, 'CREATE', NULL, NULL
     """,
-    "table_history": _SECTORS
+    "table_catalog": _MASTER
     + """
-        SELECT CAST(v AS BIGINT) AS version, o AS operation, n AS n_new FROM (
-          SELECT 0 AS v, 'CREATE' AS o, CAST(NULL AS BIGINT) AS n UNION ALL SELECT 1, 'MERGE SCD2', count(*) FROM s
-          UNION ALL SELECT 2, 'MERGE SCD2', 0)
+        SELECT 'reference/security_master' AS name, true AS has_files, true AS has_bytes, count(*) AS n_rows, 'valid_to IS NULL OR valid_to > valid_from' AS constraint FROM begun
+        UNION ALL SELECT 'bronze/' || lower(trim(source)) || '_bars', true, true, count(*), '' FROM bronze GROUP BY lower(trim(source))
+    """,
+    "stream_once": """
+        SELECT lower(trim(source)) AS source, count(DISTINCT CASE WHEN r IS NOT NULL THEN r ELSE concat_ws('|', '', coalesce(security_id, '~'), coalesce(CAST(request_start AS VARCHAR), '~'),
+          coalesce(CAST(request_end AS VARCHAR), '~'), coalesce(CAST(page AS VARCHAR), '~'), coalesce(run_id, '~')) END) AS n_messages
+        FROM (SELECT *, nullif(replace(lower(trim(response_id)), '-', ''), '') AS r FROM bronze) GROUP BY 1
     """,
-    "table_catalog": "SELECT 'reference/sectors' AS name, 'valid_to IS NULL OR valid_to > valid_from' AS constraint",
     "stream_window_counts": f"""
         SELECT {_utc("time_bucket(INTERVAL 7 DAY, ingested_at, TIMESTAMPTZ '1970-01-01 00:00:00+00')")} AS window_start, lower(trim(source)) AS source,
           count(*) AS n_deliveries, CAST(sum(record_count) AS BIGINT) AS n_records FROM bronze GROUP BY 1, 2

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import folded
 from tidemark.operators import latest_wins, payload
@@ -25,7 +26,10 @@ def read_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -
 
 
 def window_counts(deliveries: DataFrame, late: str = "30 days", width: str = "7 days") -> DataFrame:
-    """Deliveries and records by source and window of arrival; later ones than the watermark are left out."""
+    """Deliveries and records by source and window of arrival; windows that the watermark has passed take no more and leave the state.
+
+    For the output mode update (counts so far of windows that changed) or append (windows that are closed).
+    """
     return (
         deliveries.withWatermark("ingested_at", late)
         .groupBy(F.window("ingested_at", width), folded(F.col("source")).alias("source"))
@@ -39,21 +43,28 @@ def once(deliveries: DataFrame, key: Column, late: str = "30 days") -> DataFrame
     return deliveries.withColumn("_key", key).withWatermark("ingested_at", late).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
-def run_to_end(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there and return what it wrote to the shared folder."""
+def run_to_end(stream: DataFrame, name: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Run a stream over all that is there and return what it wrote to the shared folder.
+
+    Without ``keys`` in append mode. With them in update mode: every batch's changed rows are written to a folder of
+    its own, written over if the batch is repeated, and the newest row of each key is the result.
+    """
     spark, out = stream.sparkSession, staging_path(stream.sparkSession, name)
-    if mode == "append":
-        writer = stream.writeStream.format("parquet").option("path", out)
-    else:
-        # each batch's whole result replaces the one before
+    if keys:
 
-        def replace(batch: DataFrame, number: int) -> None:
-            batch.write.mode("overwrite").parquet(out)
+        def write(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-        writer = stream.writeStream.foreachBatch(replace)
-    query = writer.outputMode(mode).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+        writer = stream.writeStream.foreachBatch(write).outputMode("update")
+    else:
+        writer = stream.writeStream.format("parquet").option("path", out).outputMode("append")
+    writer.option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+    if not keys:
+        return spark.read.schema(stream.schema).parquet(out)
+    written = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(out)
+    rest = [c for c in stream.columns if c not in keys]
+    newest = written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("v"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"v.{c}").alias(c) for c in stream.columns])
 
 
 def merge_bars(table: VersionedTable) -> Callable[[DataFrame, int], None]:
