@@ -48,24 +48,31 @@ class Limits:
 
 
 #: Rounds of reweighting in one fit.
-ROUNDS = 5
+ROUNDS = 4
 #: A series that hardly moves has residuals of at least this scale, as a share.
 LEAST_SIGMA = 1e-4
 
 
 
 def _segment_median(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
-    """Median per group, ignoring nan; nan for a group without values."""
+    """Median per group, ignoring nan; nan for a group without values. Groups are in order."""
     ok = ~np.isnan(values)
     v, g = values[ok], group[ok]
-    order = np.lexsort((v, g))
-    v, counts = v[order], np.bincount(g, minlength=n)
+    counts = np.bincount(g, minlength=n)
     ends = np.cumsum(counts)
     starts = ends - counts
     out = np.full(n, np.nan)
-    has = counts > 0
-    low, high = starts[has] + (counts[has] - 1) // 2, starts[has] + counts[has] // 2
-    out[has] = (v[low] + v[high]) / 2
+    has = np.flatnonzero(counts > 0)
+    widest = counts.max(initial=0)
+    if len(has) * widest <= 4 * len(v):  # groups much alike: a row for each, sorted by itself
+        rows = np.full((len(has), widest), np.inf)
+        rows[np.repeat(np.arange(len(has)), counts[has]), np.arange(len(v)) - np.repeat(starts[has], counts[has])] = v
+        rows.sort(axis=1)
+        at = np.arange(len(has))
+        out[has] = (rows[at, (counts[has] - 1) // 2] + rows[at, counts[has] // 2]) / 2
+        return out
+    v = v[np.lexsort((v, g))]
+    out[has] = (v[starts[has] + (counts[has] - 1) // 2] + v[starts[has] + counts[has] // 2]) / 2
     return out
 
 
@@ -162,19 +169,18 @@ class Model:
             out = np.fmax(out, z)
         return out
 
-    def shift(self, longest: int) -> np.ndarray:
-        """Level-shift statistic of every session: the least surprise among it and the ``longest`` next ones.
+    def shift(self, at: np.ndarray, longest: int) -> np.ndarray:
+        """Level-shift statistic of sessions ``at``: the least surprise among each and its ``longest`` next ones.
 
-        Each is compared with the forecast from the last clean session before the first of them; 0 if they
+        They are compared with the forecast from the last clean session before the first of them; 0 if they
         don't lie on one side, nan where the part is too short to tell.
         """
-        places = np.arange(len(self.x))
-        left, a = self._neighbour(self._last, places)
+        left, a = self._neighbour(self._last[at], at)
         out = None
         for k in range(longest + 1):
-            value = _shifted(self.x - self.centre, self.part, k)
-            reach = self.phi ** (a + k)
-            z = (value - reach * left) / (self.sigma * np.sqrt((1 - reach**2) / (1 - self.phi**2)))
+            value, _ = self._neighbour(at + k, at)
+            reach = self.phi[at] ** (a + k)
+            z = (value - reach * left) / (self.sigma[at] * np.sqrt((1 - reach**2) / (1 - self.phi[at] ** 2)))
             out = z if out is None else np.where(np.sign(z) == np.sign(out), np.sign(out) * np.minimum(np.abs(out), np.abs(z)), 0 * z * out)
         return out
 
@@ -185,18 +191,6 @@ def _away(value: np.ndarray, level: np.ndarray, move: np.ndarray, limits: Limits
     return np.where(np.isnan(level) | np.isnan(value), 0.0, np.where(far, np.sign(value - level), 0.0))
 
 
-def _shifted(values: np.ndarray, series: np.ndarray, by: int) -> np.ndarray:
-    """The value ``by`` places on in the same series; nan where there is none."""
-    out = np.full(len(values), np.nan)
-    if by >= 0:
-        same = series[by:] == series[: len(series) - by]
-        out[: len(values) - by] = np.where(same, values[by:], np.nan)
-    else:
-        same = series[:by] == series[-by:]
-        out[-by:] = np.where(same, values[:by], np.nan)
-    return out
-
-
 def _starts(series: np.ndarray) -> np.ndarray:
     """Where a new series begins."""
     out = np.ones(len(series), bool)
@@ -214,51 +208,64 @@ def price_tests(value: np.ndarray, series: np.ndarray, move: np.ndarray, n: int,
     surrounds it is not; a shift is away from the level before for longer than any excursion. Outliers then
     leave the fit and the windows that make levels, and neither reaches across a shift. Both sets only grow, so it ends.
     """
-    usual = move[series]
     valid = value > 0
     with np.errstate(divide="ignore", invalid="ignore"):
         x = np.where(valid, np.log(value), np.nan)
-    places = np.arange(len(value))
     flagged, shift = np.zeros(len(value), bool), _starts(series)
-    while True:
-        clean = valid & ~flagged
-        part = np.cumsum(shift)
-        model = Model(x, series, clean, part, n)
-        windows = _levels(value, clean, part, limits.level_window)
-        level_b, level_a = _row_median(windows[0]), _row_median(windows[1])
-        new = np.zeros(len(value), bool)
-        # a run of sessions s .. s+length-1, judged by the model and the level before s and those after its end
-        for length in range(1, limits.longest + 1):
-            ends = np.minimum(places + length - 1, len(value) - 1)
-            end_level = _shifted(level_a, part, length - 1)
-            sides, candidate = [], np.ones(len(value), bool)
-            for k in range(length):
-                at = np.minimum(places + k, len(value) - 1)
-                z = model.outlier(_shifted(x, part, k), at, places, ends)
-                side = _away(_shifted(value, part, k), level_b, usual, limits)
-                candidate &= np.abs(z) > limits.outlier
-                sides += [side, np.where(np.sign(z) == side, side, 0.0), _away(_shifted(value, part, k), end_level, usual, limits)]
-            side = sides[0]
-            run = candidate & (side != 0) & np.logical_and.reduce([s == side for s in sides])
-            # its neighbours must be back at the level, or the change is a longer one
-            for v, level in ((_shifted(value, part, -1), level_b), (_shifted(value, part, length), end_level)):
-                run &= _away(v, level, usual, limits) != side
-            for k in range(length):
-                new[np.flatnonzero(run) + k] = True
-        new &= ~flagged
-        if new.any():  # outliers first: levels that still hold them can look like a shift
-            flagged |= new
-            continue
-        held = _away(value, level_b, usual, limits)
-        stat = model.shift(limits.longest)
-        lasting = (np.abs(stat) > limits.outlier) & (np.sign(stat) == held) & (held != 0) & clean
-        for k in range(1, limits.longest + 1):
-            lasting &= _away(_shifted(value, part, k), level_b, usual, limits) == held
-        lasting &= _away(_shifted(value, part, -1), level_b, usual, limits) != held
-        lasting &= ~shift
-        if not lasting.any():
-            return flagged, clean, model
-        shift |= lasting
+    left = np.arange(len(value))  # sessions of series that aren't settled; series are judged each by itself
+    while len(left):
+        new, lasting = _price_pass(value[left], x[left], series[left], flagged[left], shift[left], move, n, limits)
+        own = series[left]
+        lasting &= ~np.isin(own, own[new])  # outliers of a series first: levels that still hold them can look like a shift
+        flagged[left[new]], shift[left[lasting]] = True, True
+        left = left[np.isin(own, own[new | lasting])]
+    clean = valid & ~flagged
+    return flagged, clean, Model(x, series, clean, np.cumsum(shift), n)
+
+
+def _price_pass(
+    value: np.ndarray, x: np.ndarray, series: np.ndarray, flagged: np.ndarray, shift: np.ndarray, move: np.ndarray, n: int, limits: Limits
+) -> tuple[np.ndarray, np.ndarray]:
+    """One round of ``price_tests``: sessions newly found to be outliers, and those where a shift is new."""
+    clean, part = (value > 0) & ~flagged, np.cumsum(shift)
+    model = Model(x, series, clean, part, n)
+    windows = _levels(value, clean, part, limits.level_window)
+    level_b, level_a = _row_median(windows[0]), _row_median(windows[1])
+
+    def side_of(at: np.ndarray, level: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """On which side of a level sessions lie; 0 outside of the part of ``of``."""
+        inside = (at >= 0) & (at < len(value))
+        place = np.where(inside, at, 0)
+        return np.where(inside & (part[place] == part[of]), _away(value[place], level, move[series[of]], limits), 0.0)
+
+    every = np.arange(len(value))
+    held = side_of(every, level_b, every)
+    starts = np.flatnonzero(held != 0)
+    side, before = held[starts], level_b[starts]
+    new = np.zeros(len(value), bool)
+    # a run of sessions from each start on, judged by the model and the level before it and those after its end
+    for length in range(1, limits.longest + 1):
+        ends = np.minimum(starts + length - 1, len(value) - 1)
+        run = (starts + length <= len(value)) & (part[ends] == part[starts])
+        for k in range(length):
+            at = np.minimum(starts + k, len(value) - 1)
+            z = model.outlier(x[at], at, starts, ends)
+            run &= (np.abs(z) > limits.outlier) & (np.sign(z) == side)
+            run &= (side_of(at, before, starts) == side) & (side_of(at, level_a[ends], starts) == side)
+        # its neighbours must be back at the level, or the change is a longer one
+        run &= (side_of(starts - 1, before, starts) != side) & (side_of(starts + length, level_a[ends], starts) != side)
+        for k in range(length):
+            new[starts[run] + k] = True
+    new &= ~flagged
+
+    stat = model.shift(starts, limits.longest)
+    lasts = (np.abs(stat) > limits.outlier) & (np.sign(stat) == side) & clean[starts] & ~shift[starts]
+    for k in range(1, limits.longest + 1):
+        lasts &= side_of(starts + k, before, starts) == side
+    lasts &= side_of(starts - 1, before, starts) != side
+    lasting = np.zeros(len(value), bool)
+    lasting[starts[lasts]] = True
+    return new, lasting
 
 
 def volume_tests(value: np.ndarray, series: np.ndarray, n: int, limits: Limits = Limits()) -> tuple[np.ndarray, np.ndarray, Model]:
