@@ -7,10 +7,11 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import jobs
 from tidemark.functions import sessions, symbology
 from tidemark.functions.hashing import row_hash
 from tidemark.functions.text import folded, iso_seconds
-from tidemark.operators import exactly_once, history, latest_wins, payload, quality, reconcile, scd2
+from tidemark.operators import compaction, exactly_once, history, latest_wins, payload, quality, reconcile, scd2
 from tidemark.plans.repair import _P3_STAMPS, _UTC
 from tidemark.session import cut, staging_path
 from tidemark.sources import schemas, vendors
@@ -470,6 +471,33 @@ def table_catalog(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+def tiny_files(spark: SparkSession, folder: str) -> DataFrame:
+    """bronze written as one file for each run and more for the large ones, and what its consolidation holds."""
+    rows = table(spark, folder, "bronze")
+    source = staging_path(spark, "tiny")
+    rows.withColumn("run", F.coalesce("run_id", F.lit("none"))).repartition(spark.sparkContext.defaultParallelism, "run").write.partitionBy("run").parquet(source)
+    path, figures, counts = compaction.compact(spark, source, counted_by=["run_id"])
+    wanted = max(1, -(-figures["bytes_in"] // compaction.TARGET_BYTES))
+    held = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("bronze_id").alias("sum_ids"), F.count_distinct("payload").alias("payloads"))
+    return held.select(
+        counts.agg(F.count(F.lit(1))).scalar().alias("n_runs"), "n_rows", "sum_ids", "payloads", F.lit(figures["files_out"] <= wanted).alias("few_files"),
+        (F.lit(figures["files_in"]) >= counts.agg(F.count(F.lit(1))).scalar()).alias("many_before"),
+    )
+
+
+def job_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """The bars that the job makes of the bronze tables for a range of days, run twice: the second run changes nothing."""
+    lake = jobs.Lake(spark, staging_path(spark, "job"))
+    for source in SOURCES:
+        rows = table(spark, folder, "bronze").where(folded(F.col("source")) == source)
+        held = lake.bronze(source)
+        held.ensure(rows.schema)
+        held.append(rows)
+    for _ in range(2):
+        jobs.build_silver(lake, FIRST_DAY, LAST_DAY)
+    return lake.bars.read().select(*schemas.BAR_KEYS, "close", "volume", "value_hash", "source_run_id", "revision_count", F.lit(len(lake.bars.versions())).alias("n_versions"))
+
+
 def stream_window_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = deliveries.window_counts(deliveries.read_stream(spark, f"{folder}/bronze.parquet"))
     return _as_text(deliveries.run_to_end(counts, "counts", ["window_start", "source"]), "window_start")
@@ -513,6 +541,7 @@ SHOWN = {
     "actions_merged": ("ex_date", "value"),
     "ratio_days": ("first_day", "last_day"),
     "stream_bars": ("trade_date", "close"),
+    "job_silver": ("trade_date", "close"),
 }
 
 
@@ -535,7 +564,7 @@ QUERIES = {
         top_recent_bars, exact_price_sum, actions_by_type,
         issuer_ids, vendor_symbols, vendor_requests, figi_lookup, stale_labels, sec_tickers, vendor_lookups, build_report, last_sessions,
         symbol_spellings, match_key_collisions, ticker_mismatch, issuer_shared, reconcile_resolved, reconcile_quarantined, quarantine_reasons,
-        session_bounds, table_time_travel, table_merged, table_history, table_catalog, stream_window_counts, stream_once, stream_bars,
+        session_bounds, table_time_travel, table_merged, table_history, table_catalog, tiny_files, job_silver, stream_window_counts, stream_once, stream_bars,
     )
 }
 
@@ -900,6 +929,18 @@ SQL = {
         SELECT 'reference/security_master' AS name, true AS has_files, true AS has_bytes, count(*) AS n_rows, 'valid_to IS NULL OR valid_to > valid_from' AS constraint FROM begun
         UNION ALL SELECT 'bronze/' || lower(trim(source)) || '_bars', true, true, count(*), '' FROM bronze GROUP BY lower(trim(source))
     """,
+    "tiny_files": """
+        SELECT count(DISTINCT coalesce(run_id, '')) AS n_runs, count(*) AS n_rows, CAST(sum(bronze_id) AS BIGINT) AS sum_ids, count(DISTINCT payload) AS payloads,
+          true AS few_files, true AS many_before FROM bronze
+    """,
+    "job_silver": _DELIVERED
+    + f"""
+        , hashed AS (SELECT d.*, {_hash(*schemas.BAR_VALUES)} AS value_hash FROM delivered d JOIN bronze b USING (bronze_id)
+          WHERE b.request_end >= DATE '{FIRST_DAY}' AND b.request_start <= DATE '{LAST_DAY}')
+        SELECT security_id, CAST(trade_date AS DATE) AS trade_date, source, close, volume, value_hash, run_id AS source_run_id, 0 AS revision_count, 3 AS n_versions
+        FROM hashed WHERE CAST(trade_date AS DATE) BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'
+        QUALIFY row_number() OVER (PARTITION BY security_id, hashed.trade_date, source ORDER BY ingested_at DESC, run_id DESC, value_hash DESC) = 1
+    """,
     "stream_once": """
         SELECT lower(trim(source)) AS source, count(DISTINCT CASE WHEN r IS NOT NULL THEN r ELSE concat_ws('|', '', coalesce(security_id, '~'), coalesce(CAST(request_start AS VARCHAR), '~'),
           coalesce(CAST(request_end AS VARCHAR), '~'), coalesce(CAST(page AS VARCHAR), '~'), coalesce(run_id, '~')) END) AS n_messages
