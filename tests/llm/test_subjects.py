@@ -85,7 +85,7 @@ def test_decision_by_posteriors():
 
 
 def test_the_labelled_sample_is_bounded(spark):
-    documents = spark.createDataFrame([(i, "x" * 100) for i in range(50)] + [(60, None), (61, "y")], "doc_id long, text string")
+    documents = spark.createDataFrame([(i, "x" * 100) for i in range(50)] + [(7, "x" * (i % 50)) for i in range(300)] + [(60, None), (61, "y")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, s) for i in range(50) for s in ("law", "law", "none")] + [(60, "law"), (61, None)], "doc_id long, subject string")
     taken = lambda **o: subjects.labelled_sample(documents, labels, subjects.Options(**o))
     assert len(taken()) == 51 and len(taken(most_labelled=7)) == 7

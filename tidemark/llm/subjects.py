@@ -173,13 +173,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, options: Options) -
     known = labels.where("doc_id IS NOT NULL AND subject IS NOT NULL").groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(options.most_labelled)
     # broadcast: a row of an id and at most as many subjects as there are, most_labelled times
-    found = cut(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
-    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "size")  # over at most most_labelled sizes, copies of a post apart
-    sizes = found.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
-    within = sizes.withColumn("total", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("total") <= options.most_labelled_bytes)
-    taken = within.groupBy("doc_id").agg(F.max("size").alias("most"))
-    same = [found["doc_id"] == taken["doc_id"], F.coalesce(F.octet_length("text"), F.lit(0)) <= F.col("most")]
-    return found.join(F.broadcast(taken), same, "left_semi").select("text", "subjects").collect()
+    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # of a repeated id one text, so that there are no more rows than ids
+    once = cut(found.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("subjects").alias("subjects")))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over no more than most_labelled numbers
+    taken = once.select("doc_id", size.alias("size")).withColumn("total", F.sum("size").over(in_order)).where(F.col("total") <= options.most_labelled_bytes)
+    return once.join(F.broadcast(taken.select("doc_id")), "doc_id", "left_semi").select("text", "subjects").collect()
 
 
 def learn(sample: list, subjects: list[str], options: Options = Options()) -> Lexicon:
