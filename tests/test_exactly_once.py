@@ -69,29 +69,20 @@ def test_a_later_delivery_reads_only_storage_that_may_know_it(spark, tmp_path):
     assert _deliver(spark, again, []) == []
 
 
-def test_false_alarms_are_kept_once_and_found_later(spark, tmp_path, monkeypatch):
+def test_false_alarms_are_kept_once_and_found_later(spark, tmp_path):
     """Filters of so few bits that most answers are false; the result must not change."""
-    monkeypatch.setattr(exactly_once, "BITS", 1)
-    monkeypatch.setattr(exactly_once, "PROBES", 1)
-    monkeypatch.setattr(exactly_once, "_screened", _small_filters(exactly_once._screened))
-    store = exactly_once.MessageStore(spark, str(tmp_path / "store"), shards=2, bucket_days=10)
+    store = exactly_once.MessageStore(spark, str(tmp_path / "store"), shards=2, bucket_days=10, bits=1, probes=1)
     seen, want = set(), []
     for batch in range(3):
-        rows = [(batch * 1000 + i, f"k{(i * 7 + batch * 90) % 400}", batch * 15 + i // 20) for i in range(300)]
+        rows = [(batch * 100_000 + i, f"k{(i * 7 + batch * 2000) % 9000}", batch * 15 + i // 400) for i in range(6000)]
         want = []
         for i, k, _ in sorted(rows, key=lambda r: (r[2], r[0])):
             if k in seen:
                 want.append(i)
             seen.add(k)
         assert _deliver(spark, store, rows) == sorted(want)
-
-
-def _small_filters(run):
-    def small(batches):
-        exactly_once.BITS, exactly_once.PROBES = 1, 1
-        yield from run(batches)
-
-    return small
+    late = [f for f in store.log.entry(3)["folders"] if f.endswith("-late")]
+    assert sum(spark.read.parquet(f).count() for f in late) > 500  # false alarms there were
 
 
 def test_a_failed_delivery_leaves_nothing_behind(spark, tmp_path, monkeypatch):

@@ -40,24 +40,24 @@ _SCHEMA = "kind int, bucket long, id long, arrival long, hash long, key string,
 class Bloom:
     """A Bloom filter over 64-bit hashes, whole arrays at a time."""
 
-    def __init__(self, items: int = 0, bits: bytes | None = None):
-        size = max(8192, 1 << int(np.ceil(np.log2(max(items, 1) * BITS))))
-        self.bits = np.zeros(size >> 3, np.uint8) if bits is None else np.frombuffer(bits, np.uint8)
-        self.size = len(self.bits) << 3
+    def __init__(self, items: int = 0, content: bytes | None = None, bits: int = BITS, probes: int = PROBES):
+        size = max(8192, 1 << int(np.ceil(np.log2(max(items, 1) * bits))))
+        self.bits = np.zeros(size >> 3, np.uint8) if content is None else np.frombuffer(content, np.uint8)
+        self.size, self.probes = len(self.bits) << 3, probes
 
     def _places(self, hashes: np.ndarray, probe: int) -> np.ndarray:
         step = (hashes >> np.uint64(33)) | np.uint64(1)
         return (hashes + np.uint64(probe) * step) & np.uint64(self.size - 1)
 
     def add(self, hashes: np.ndarray) -> None:
-        for probe in range(PROBES):
+        for probe in range(self.probes):
             at = self._places(hashes, probe)
             np.bitwise_or.at(self.bits, at >> np.uint64(3), (1 << (at & np.uint64(7))).astype(np.uint8))
 
     def might_contain(self, hashes: np.ndarray) -> np.ndarray:
         """A flag per hash; the places still undecided shrink with every probe."""
         left = np.arange(len(hashes))
-        for probe in range(PROBES):
+        for probe in range(self.probes):
             at = self._places(hashes[left], probe)
             left = left[(self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
             if not len(left):
@@ -70,15 +70,16 @@ class Bloom:
 class Screen:
     """One shard's filters by bucket, while the rows of a delivery pass in order of arrival."""
 
-    def __init__(self) -> None:
+    def __init__(self, bits: int = BITS, probes: int = PROBES) -> None:
+        self.made = {"bits": bits, "probes": probes}
         self.filters: dict[int, list[Bloom]] = {}
         self.bucket: int | None = None
         self.hashes: list[np.ndarray] = []
         self.filling: list[Bloom] = []
         self.room = 0
 
-    def know(self, bucket: int, bits: bytes) -> None:
-        self.filters.setdefault(bucket, []).append(Bloom(bits=bits))
+    def know(self, bucket: int, content: bytes) -> None:
+        self.filters.setdefault(bucket, []).append(Bloom(content=content, **self.made))
 
     def check(self, hashes: np.ndarray) -> tuple[np.ndarray, dict[int, list[int]]]:
         """Rows of the open bucket that are definitely new, and of every other row the buckets that may know it."""
@@ -101,7 +102,7 @@ class Screen:
         self.hashes.append(hashes)
         if len(hashes) > self.room:
             self.room = max(1 << 14, len(hashes), 2 * sum(map(len, self.hashes)))
-            self.filling.append(Bloom(self.room))
+            self.filling.append(Bloom(self.room, **self.made))
         if len(hashes):
             self.filling[-1].add(hashes)
         self.room -= len(hashes)
@@ -112,7 +113,7 @@ class Screen:
         bucket, self.bucket, self.hashes, self.filling, self.room = self.bucket, None, [], [], 0
         if bucket is None or not len(hashes):
             return None
-        whole = Bloom(len(hashes))
+        whole = Bloom(len(hashes), **self.made)
         whole.add(hashes)
         self.filters.setdefault(bucket, []).append(whole)
         return bucket, hashes[:1].view(np.int64)[0].item(), whole.bits.tobytes()
@@ -137,12 +138,12 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip([0, *edges.tolist()], [*edges.tolist(), len(values)], strict=True)
 
 
-def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _screened(batches: Iterator[pa.RecordBatch], bits: int, probes: int) -> Iterator[pa.RecordBatch]:
     """What the filters say of each row of a shard; filters come first, then rows in order of arrival.
 
     Results are gathered over batches, since what is found in one is little.
     """
-    screen, held, n = Screen(), [], 0
+    screen, held = Screen(bits, probes), []
 
     def finished() -> Iterator[pa.RecordBatch]:
         done = screen.close()
@@ -154,8 +155,8 @@ def _screened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(start, end - start)
             kind = part.column("kind")[0].as_py()
             if kind == FILTER:
-                for bucket, bits in zip(part.column("bucket").to_pylist(), part.column("bits").to_pylist(), strict=True):
-                    screen.know(bucket, bits)
+                for bucket, content in zip(part.column("bucket").to_pylist(), part.column("bits").to_pylist(), strict=True):
+                    screen.know(bucket, content)
                 continue
             if kind == REPEAT:
                 held.append(_rows(len(part), kind=REPEAT, bucket=-1, id=part.column("id")))
@@ -200,17 +201,18 @@ class MessageStore:
 
     ``<delivery>/kind=<kind>/bucket=<bucket>/part-*.parquet``, a file per shard, for every delivery the log lists. The number of
     shards is set when the store is made and must suit all it will ever hold: 16 to 32 bits for each
-    identifier of a shard are read by one task.
+    identifier of a shard are read by one task. It is kept with the store, and so is how filters are made, since a filter
+    must be asked as it was filled.
     """
 
-    def __init__(self, spark: SparkSession, path: str, shards: int = 64, bucket_days: int = BUCKET_DAYS):
+    def __init__(self, spark: SparkSession, path: str, shards: int = 64, bucket_days: int = BUCKET_DAYS, bits: int = BITS, probes: int = PROBES):
         self.spark, self.path = spark, path.rstrip("/")
         self.log = CommitLog(spark, f"{self.path}/_log")
         if not self.log.versions():
             self.log.create()
-            self.log.publish(0, {"shards": shards, "bucket_days": bucket_days, "folders": []})
+            self.log.publish(0, {"shards": shards, "bucket_days": bucket_days, "bits": bits, "probes": probes, "folders": []})
         made = self.log.entry(0)
-        self.shards, self.bucket_days = made["shards"], made["bucket_days"]
+        self.shards, self.bucket_days, self.bits, self.probes = (made[k] for k in ("shards", "bucket_days", "bits", "probes"))
         #: What the last delivery did: buckets whose storage was read.
         self.buckets_read: list[int] = []
 
@@ -282,7 +284,8 @@ class MessageStore:
         if filters is not None:  # routed by one of their own hashes, so each meets the rows of its shard
             routed = routed.unionByName(filters.withColumn("kind", F.lit(FILTER)))
         ordered = routed.repartition(self.shards, "hash").sortWithinPartitions("kind", "arrival", "id")
-        ordered.mapInArrow(_screened, _SCHEMA).write.partitionBy("kind", "bucket").parquet(folder)
+        bits, probes = self.bits, self.probes
+        ordered.mapInArrow(lambda batches: _screened(batches, bits, probes), _SCHEMA).write.partitionBy("kind", "bucket").parquet(folder)
 
     def _verify(self, known: list[str], folder: str) -> tuple[DataFrame, list[str]]:
         repeats, suspects = self._read([folder], REPEAT), self._read([folder], SUSPECT)
