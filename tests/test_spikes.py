@@ -188,3 +188,27 @@ def test_many_series_in_small_batches(spark):
         assert {r["bar_id"] for r in out.collect()} == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_hot_series_are_judged_alike(spark):
+    """Series too large for a task take another way to the same kinds: superseded readings, stuck ones, repeats, all three kinds."""
+    rng = np.random.default_rng(9)
+    data, number = [], 0
+    for s in range(4):
+        readings = series(80, seed=s)
+        for i in (23, 24, 25):
+            readings[i] = list(readings[22])
+        readings[50] = scaled(readings[50], 1.5)
+        readings[60][4] *= 90
+        for i, r in enumerate(readings):
+            for k in range(int(rng.integers(1, 5))):  # earlier deliveries of the session, some wrong
+                wrong = scaled(r, rng.choice([1.0, 1.001, 1.6, 0.5, -1.0])) if k else r
+                if k == 3:
+                    wrong = [*r[:4], r[4] * 50]
+                data.append((number, f"S{s}", "x", date(2025, 1, 1) + timedelta(days=i), *map(float, wrong[:4]), int(wrong[4]), datetime(2025, 6, 1) - timedelta(hours=k // 2), "c", 1.0, 1))
+                number += 1
+    frame, none = spark.createDataFrame(data, BARS), spark.createDataFrame([], ACTIONS)
+    kinds_ = lambda **o: sorted(map(tuple, spikes.flag_bars(frame, none, **o).collect()))
+    plain_ = kinds_()
+    assert {k for _, k in plain_} >= {IMPOSSIBLE, EXCURSION, STUCK} and len(plain_) > 100
+    assert kinds_(hot_rows=10) == plain_ and kinds_(hot_rows=195) == plain_

@@ -14,17 +14,17 @@ the standardised residuals, take out what is found, fit again. All tests are arr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import folded
 from tidemark.operators.copydiff import later_product, split_factors
-from tidemark.operators.skew import broadcast_if_small
+from tidemark.operators.skew import HOT_ROWS, broadcast_if_small, hot_keys
 from tidemark.session import cut
 
 PRICES = ("close", "high", "low")
@@ -145,11 +145,10 @@ class Model:
         inside &= self.part[place] == self.part[of]
         return np.where(inside, self.x[place] - self.centre[place], np.nan), np.abs(place - of).astype(float)
 
-    def outlier(self, values: np.ndarray, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Additive-outlier statistic of values in sessions ``at`` of the runs ``starts`` .. ``ends``.
+    def between(self, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What to expect in sessions ``at`` of the runs ``starts`` .. ``ends``, and its standard deviation.
 
-        The residual from what the model expects between the last clean session before the run and the
-        next one after it, over its standard deviation; nan without both.
+        Between the last clean session before the run and the next one after it; nan without both.
         """
         left, a = self._neighbour(self._last[starts], at)
         right, b = self._neighbour(self._next[ends], at)
@@ -157,16 +156,20 @@ class Model:
         whole = 1 - (before * after) ** 2
         expected = (before * (1 - after**2) * left + after * (1 - before**2) * right) / whole
         deviation = self.sigma[at] * np.sqrt((1 - before**2) * (1 - after**2) / whole / (1 - phi**2))
-        return (values - self.centre[at] - expected) / deviation
+        return self.centre[at] + expected, deviation
+
+    def outlier(self, values: np.ndarray, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Additive-outlier statistic of values in sessions ``at``: their residual over its standard deviation."""
+        expected, deviation = self.between(at, starts, ends)
+        return (values - expected) / deviation
 
-    def surprise(self, values: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Standardised residual of values in sessions ``at``: the greater of the forecast's from before and that from after."""
-        out = np.full(len(at), -np.inf)
+    def forecasts(self, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """What to expect in sessions ``at`` after the last clean session before, and before the next one after, with deviations."""
+        out = []
         for places in (self._last[at], self._next[at]):
             near, distance = self._neighbour(places, at)
             phi, reach = self.phi[at], self.phi[at] ** distance
-            z = (values - self.centre[at] - reach * near) / (self.sigma[at] * np.sqrt((1 - reach**2) / (1 - phi**2)))
-            out = np.fmax(out, z)
+            out.append((self.centre[at] + reach * near, self.sigma[at] * np.sqrt((1 - reach**2) / (1 - phi**2))))
         return out
 
     def shift(self, at: np.ndarray, longest: int) -> np.ndarray:
@@ -191,6 +194,11 @@ def _away(value: np.ndarray, level: np.ndarray, move: np.ndarray, limits: Limits
     return np.where(np.isnan(level) | np.isnan(value), 0.0, np.where(far, np.sign(value - level), 0.0))
 
 
+def _surprise(values: np.ndarray, forecasts: Sequence[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The greater of the standardised residuals from several forecasts."""
+    return np.fmax.reduce([(values - expected) / deviation for expected, deviation in forecasts])
+
+
 def _starts(series: np.ndarray) -> np.ndarray:
     """Where a new series begins."""
     out = np.ones(len(series), bool)
@@ -284,12 +292,68 @@ def volume_tests(value: np.ndarray, series: np.ndarray, n: int, limits: Limits =
         around = _row_median(np.concatenate(windows, axis=1))
         model = Model(x, series, clean, series, n)
         with np.errstate(invalid="ignore"):
-            new = (model.surprise(x, np.arange(len(value))) > limits.volume_outlier) & (value > limits.volume_times * around) & ~high
+            new = (_surprise(x, model.forecasts(np.arange(len(value)))) > limits.volume_outlier) & (value > limits.volume_times * around) & ~high
         if not new.any():
             return high, around, model
         high |= new
 
 
+#: What a session's other readings are judged by: levels and expectations of each price, and of the volume.
+CONTEXT = (
+    "move",
+    *(f"{k}_{what}" for k in PRICES for what in ("before", "after", "expected", "deviation")),
+    "usual_volume", "forward", "forward_deviation", "backward", "backward_deviation",
+)
+
+
+def impossible(readings: dict[str, np.ndarray]) -> np.ndarray:
+    o, h, low, c, v = (readings[k] for k in READING)
+    with np.errstate(invalid="ignore"):
+        return (o <= 0) | (h <= 0) | (low <= 0) | (c <= 0) | (v < 0) | (h < low) | (c > h) | (c < low)
+
+
+def session_tests(
+    series: np.ndarray, n: int, readings: dict[str, np.ndarray], factor: np.ndarray, at: np.ndarray, limits: Limits
+) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Excursions among sessions, one reading each, and the ``CONTEXT`` of sessions ``at``."""
+    adjusted = {k: readings[k] / factor for k in PRICES}
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x = np.where(impossible(readings), np.nan, np.log(adjusted["close"]))
+    # the usual move of the close
+    step = np.abs(x[1:] - x[:-1])
+    step[series[1:] != series[:-1]] = np.nan
+    move = _segment_median(step, series[1:], n) if len(series) > 1 else np.full(n, np.nan)
+    move = np.where(np.isnan(move), 0.0, move)
+
+    found, context = np.zeros(len(series), bool), {"move": move[series[at]]}
+    for k in PRICES:
+        value = np.where(adjusted[k] > 0, adjusted[k], np.nan)
+        flagged, clean, model = price_tests(value, series, move, n, limits)
+        found |= flagged
+        windows = _levels(np.where(np.isnan(value), 0.0, value), clean, model.part, limits.level_window)
+        context[f"{k}_before"], context[f"{k}_after"] = (_row_median(w[at]) for w in windows)
+        context[f"{k}_expected"], context[f"{k}_deviation"] = model.between(at, at, at)
+    traded = readings["volume"] * factor
+    high, around, model = volume_tests(np.where(traded > 0, traded, np.nan), series, n, limits)
+    (forward, f_dev), (backward, b_dev) = model.forecasts(at)
+    context |= {"usual_volume": around[at], "forward": forward, "forward_deviation": f_dev, "backward": backward, "backward_deviation": b_dev}
+    return found | high, context
+
+
+def superseded_tests(readings: dict[str, np.ndarray], factor: np.ndarray, context: dict[str, np.ndarray], limits: Limits) -> np.ndarray:
+    """Excursions among readings that a later delivery superseded, each judged in the place of its session's last one."""
+    out = np.zeros(len(factor), bool)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for k in PRICES:
+            value = readings[k] / factor
+            before, after = (_away(value, context[f"{k}_{side}"], context["move"], limits) for side in ("before", "after"))
+            z = (np.log(value) - context[f"{k}_expected"]) / context[f"{k}_deviation"]
+            out |= (before != 0) & (before == after) & (np.sign(z) == before) & (np.abs(z) > limits.outlier)
+        traded = readings["volume"] * factor
+        z = _surprise(np.log(traded), [(context["forward"], context["forward_deviation"]), (context["backward"], context["backward_deviation"])])
+        return out | ((traded > limits.volume_times * context["usual_volume"]) & (z > limits.volume_outlier))
+
+
 def detect(series: np.ndarray, day: np.ndarray, readings: dict[str, np.ndarray], factor: np.ndarray, limits: Limits = Limits()) -> np.ndarray:
     """Kinds of cases of each row as a bit set.
 
@@ -297,51 +361,17 @@ def detect(series: np.ndarray, day: np.ndarray, readings: dict[str, np.ndarray],
     makes the series and every one is judged. readings: columns READING as floats, nan for null. factor:
     product of the splits after the day that the series isn't adjusted for.
     """
-    o, h, low, c, v = (readings[k] for k in READING)
     out = np.zeros(len(series), np.int32)
     if not len(series):
         return out
-    with np.errstate(invalid="ignore"):
-        bad_price = (o <= 0) | (h <= 0) | (low <= 0) | (c <= 0)
-        impossible = bad_price | (v < 0) | (h < low) | (c > h) | (c < low)
-    out[impossible] |= IMPOSSIBLE
-
+    out[impossible(readings)] |= IMPOSSIBLE
     last = np.ones(len(series), bool)
     last[:-1] = (series[1:] != series[:-1]) | (day[1:] != day[:-1])
     session = np.cumsum(np.concatenate([[0], last[:-1].astype(np.int64)]))
-    own = series[last]
-    n = int(own[-1]) + 1
-    adjusted = {k: readings[k] / factor for k in PRICES}
-
-    # the usual move of the close
-    fine = ~impossible[last]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        x = np.where(fine, np.log(adjusted["close"][last]), np.nan)
-    step = np.abs(x[1:] - x[:-1])
-    step[own[1:] != own[:-1]] = np.nan
-    move = _segment_median(step, own[1:], n) if len(own) > 1 else np.full(n, np.nan)
-    move = np.where(np.isnan(move), 0.0, move)
-
-    old = np.flatnonzero(~last)  # rows that a later delivery superseded, judged in its place
-    at = session[old]
-    for k in PRICES:
-        per_session = np.where(adjusted[k][last] > 0, adjusted[k][last], np.nan)
-        flagged, clean, model = price_tests(per_session, own, move, n, limits)
-        out[last] |= np.where(flagged, EXCURSION, 0).astype(np.int32)
-        value = adjusted[k][old]
-        windows = _levels(np.where(np.isnan(per_session), 0.0, per_session), clean, model.part, limits.level_window)
-        sides = [_away(value, _row_median(w)[at], move[own[at]], limits) for w in windows]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            z = model.outlier(np.log(value), at, at, at)
-        out[old[(sides[0] != 0) & (sides[0] == sides[1]) & (np.sign(z) == sides[0]) & (np.abs(z) > limits.outlier)]] |= EXCURSION
-
-    traded = v * factor
-    high, around, model = volume_tests(np.where(traded[last] > 0, traded[last], np.nan), own, n, limits)
-    out[last] |= np.where(high, EXCURSION, 0).astype(np.int32)
-    value = traded[old]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        z = model.surprise(np.log(value), at)
-        out[old[(value > limits.volume_times * around[at]) & (z > limits.volume_outlier)]] |= EXCURSION
+    old = np.flatnonzero(~last)
+    found, context = session_tests(series[last], int(series[-1]) + 1, {k: readings[k][last] for k in READING}, factor[last], session[old], limits)
+    out[last] |= np.where(found, EXCURSION, 0).astype(np.int32)
+    out[old[superseded_tests({k: readings[k][old] for k in READING}, factor[old], context, limits)]] |= EXCURSION
 
     # stuck: the same reading in successive sessions of a series, whether or not a later delivery differs
     columns = [readings[k] for k in READING]
@@ -354,26 +384,22 @@ def detect(series: np.ndarray, day: np.ndarray, readings: dict[str, np.ndarray],
     run = np.cumsum(start) - 1
     first = session[order][start]
     length = np.maximum.reduceat(session[order], np.flatnonzero(start)) - first + 1
-    stuck = (length[run] >= limits.stuck_sessions) & (session[order] > first[run]) & (v[order] > 0)
+    stuck = (length[run] >= limits.stuck_sessions) & (session[order] > first[run]) & (readings["volume"][order] > 0)
     out[order[stuck]] |= STUCK
     return out
 
 
-_FIELDS = ("open", "high", "low", "close", "volume", "factor")
+def _numbers(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    return {k: table.column(k).to_numpy().astype(float) for k in READING}, table.column("factor").to_numpy().astype(float)
 
 
-def _flag_series(limits: Limits):
-    """A mapInArrow function over rows sorted by series, day and delivery: the flagged rows and their kinds."""
-
-    def flush(table: pa.Table) -> pa.RecordBatch:
-        codes = np.concatenate([c.indices.to_numpy() for c in table.column("series").dictionary_encode().unify_dictionaries().chunks])
-        series = np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])])
-        numbers = {k: table.column(k).to_numpy().astype(float) for k in _FIELDS}
-        factor = numbers.pop("factor")
-        kinds = detect(series, table.column("day").to_numpy(), numbers, factor, limits)
-        hit = np.flatnonzero(kinds)
-        found = table.select(["reading", "n", "bar_id"]).take(pa.array(hit)).append_column("kinds", pa.array(kinds[hit], pa.int32()))
-        return found.combine_chunks().to_batches()
+def _series_numbers(table: pa.Table) -> np.ndarray:
+    codes = np.concatenate([c.indices.to_numpy() for c in table.column("series").dictionary_encode().unify_dictionaries().chunks])
+    return np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])])
+
+
+def _by_series(flush: Callable[[pa.Table], list[pa.RecordBatch]]):
+    """A mapInArrow function over rows sorted by series, which gives ``flush`` whole series, many at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -382,8 +408,7 @@ def _flag_series(limits: Limits):
                 continue
             names = batch.column("series")
             final = names[len(names) - 1]
-            if held or len(batch):
-                held.append(batch)
+            held.append(batch)
             # rows of the last series stay until the next batch shows that it is complete
             cutoff = pa.compute.index(names, final).as_py()
             if cutoff == 0 and (len(held) == 1 or held[-2].column("series")[-1] == final):
@@ -397,7 +422,76 @@ def _flag_series(limits: Limits):
     return run
 
 
-def flag_bars(bars: DataFrame, actions: DataFrame, unadjusted: tuple[str, ...] = ("alpaca",), limits: Limits = Limits()) -> DataFrame:
+def _flagged(table: pa.Table, kinds: np.ndarray) -> list[pa.RecordBatch]:
+    hit = np.flatnonzero(kinds)
+    return table.select(["reading", "n", "bar_id"]).take(pa.array(hit)).append_column("kinds", pa.array(kinds[hit], pa.int32())).combine_chunks().to_batches()
+
+
+def _flag_series(limits: Limits):
+    """Rows sorted by series, day and delivery: the flagged ones and their kinds."""
+
+    def flush(table: pa.Table) -> list[pa.RecordBatch]:
+        return _flagged(table, detect(_series_numbers(table), table.column("day").to_numpy(), *_numbers(table), limits))
+
+    return _by_series(flush)
+
+
+def _session_contexts(limits: Limits):
+    """One row per session, sorted by series and day: its place, whether it is an excursion, and its context."""
+
+    def flush(table: pa.Table) -> list[pa.RecordBatch]:
+        series, every = _series_numbers(table), np.arange(table.num_rows)
+        found, context = session_tests(series, int(series[-1]) + 1, *_numbers(table), every, limits)
+        out = table.select(["series", "day", "bar_id"]).rename_columns(["series", "day", "last_id"])
+        out = out.append_column("session", pa.array(every - np.flatnonzero(_starts(series))[series])).append_column("excursion", pa.array(found))
+        for name in CONTEXT:
+            out = out.append_column(name, pa.array(context[name].astype(float)))
+        return out.combine_chunks().to_batches()
+
+    return _by_series(flush)
+
+
+def _flag_by_context(limits: Limits):
+    """Rows with their session's context: impossible ones and excursions."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            readings, factor = _numbers(table)
+            context = {name: table.column(name).to_numpy().astype(float) for name in CONTEXT}
+            is_last = table.column("bar_id").to_numpy() == table.column("last_id").to_numpy()
+            away = np.where(is_last, table.column("excursion").to_numpy(), superseded_tests(readings, factor, context, limits))
+            yield from _flagged(table, (np.where(impossible(readings), IMPOSSIBLE, 0) | np.where(away, EXCURSION, 0)).astype(np.int32))
+
+    return run
+
+
+def _flag_hot(rows: DataFrame, kind: str, limits: Limits) -> DataFrame:
+    """``reading, n, bar_id, kinds`` of the flagged rows of series with more readings than one task should hold.
+
+    Only the last reading of each session goes into the series' task, no more than the calendar has days; what it
+    makes of them, the context of each session, goes to that session's other readings wherever they are. Readings
+    repeated over sessions are found by gaps and islands among equal readings.
+    """
+    fields = ("bar_id", *READING, "factor")
+    lasts = rows.groupBy("series", "day").agg(F.max(F.struct("at", *fields)).alias("v")).select("series", "day", *[F.col(f"v.{c}") for c in fields])
+    columns = "series string, day int, last_id long, session long, excursion boolean, " + ", ".join(f"{c} double" for c in CONTEXT)
+    contexts = cut(lasts.repartition("series").sortWithinPartitions("series", "day").mapInArrow(_session_contexts(limits), columns))
+    placed = rows.join(broadcast_if_small(contexts), ["series", "day"])
+    out = f"reading {kind}, n long, bar_id long, kinds int"
+    away = placed.mapInArrow(_flag_by_context(limits), out)
+
+    whole = placed.where(" AND ".join(["volume > 0", *[f"{c} IS NOT NULL" for c in READING]])).select("series", *READING, "session", "reading", "n", "bar_id")
+    alike = Window.partitionBy("series", *READING)
+    runs = whole.withColumn("run", F.col("session") - F.row_number().over(alike.orderBy("session")))
+    in_run = Window.partitionBy("series", *READING, "run")
+    stuck = runs.withColumn("length", F.count(F.lit(1)).over(in_run)).withColumn("first", F.min("session").over(in_run))
+    stuck = stuck.where((F.col("length") >= limits.stuck_sessions) & (F.col("session") > F.col("first")))
+    both = away.unionByName(stuck.select("reading", "n", "bar_id", F.lit(STUCK).alias("kinds")))
+    return both.groupBy("bar_id").agg(F.first("reading").alias("reading"), F.first("n").alias("n"), F.bit_or("kinds").alias("kinds")).select("reading", "n", "bar_id", "kinds")
+
+
+def flag_bars(bars: DataFrame, actions: DataFrame, unadjusted: tuple[str, ...] = ("alpaca",), limits: Limits = Limits(), hot_rows: int = HOT_ROWS) -> DataFrame:
     """``bar_id`` and ``kinds`` (a bit set of IMPOSSIBLE, EXCURSION, STUCK) of every flagged row of ``bars``.
 
     Source names are compared without case and outer blanks. Sources in ``unadjusted`` are divided by the
@@ -408,7 +502,8 @@ def flag_bars(bars: DataFrame, actions: DataFrame, unadjusted: tuple[str, ...] =
     Excursions that touch the end of a series have no level behind them and aren't flagged.
 
     Equal readings of a session are first aggregated to one row with a count, map-side too: a series has
-    one row per session and distinct reading, however often it was delivered. Flagged readings that stand for
+    one row per session and distinct reading, however often it was delivered. A series with more than ``hot_rows`` rows
+    isn't brought into one task (``_flag_hot``); its rows get the same kinds. Flagged readings that stand for
     several rows are turned into their rows by a join at the end.
     """
     reading = F.struct("security_id", folded(F.col("source")).alias("source"), "trade_date", *READING)
@@ -423,7 +518,8 @@ def flag_bars(bars: DataFrame, actions: DataFrame, unadjusted: tuple[str, ...] =
     factor = F.when(F.col("source").isin(*unadjusted), later_product(F.col("splits"), F.col("trade_date"))).otherwise(F.lit(1.0))
     # a row that can't be placed is a series of its own
     placed = F.col("security_id").isNotNull() & F.col("source").isNotNull() & F.col("trade_date").isNotNull()
-    name = F.when(placed, F.concat(F.lit("s"), "security_id", F.lit("\u0000"), "source")).otherwise(F.concat(F.lit("b"), F.col("newest.bar_id").cast("string")))
+    series = F.concat(F.lit("s"), "security_id", F.lit("\u0000"), "source")
+    name = F.when(placed, series).otherwise(F.concat(F.lit("b"), F.col("newest.bar_id").cast("string")))
     arranged = joined.select(
         name.alias("series"),
         F.coalesce(F.datediff("trade_date", F.lit("1970-01-01")), F.lit(0)).alias("day"),
@@ -435,8 +531,16 @@ def flag_bars(bars: DataFrame, actions: DataFrame, unadjusted: tuple[str, ...] =
         F.when(F.col("n") > 1, F.struct(*keys)).alias("reading"),
     )
     kind = rows.select(*keys).schema.simpleString()
-    ordered = arranged.repartition("series").sortWithinPartitions("series", "day", "at", "bar_id")
-    flagged = cut(ordered.mapInArrow(_flag_series(limits), f"reading {kind}, n long, bar_id long, kinds int"))
+    hot = hot_keys(rows.where(placed).select(series.alias("series")), "series", hot_rows).select("series")
+    usual = arranged
+    if not hot.isEmpty():
+        arranged, hot = cut(arranged), broadcast_if_small(hot)
+        usual = arranged.join(hot, "series", "left_anti")
+    ordered = usual.repartition("series").sortWithinPartitions("series", "day", "at", "bar_id")
+    flagged = ordered.mapInArrow(_flag_series(limits), f"reading {kind}, n long, bar_id long, kinds int")
+    if usual is not arranged:
+        flagged = flagged.unionByName(_flag_hot(arranged.join(hot, "series", "left_semi"), kind, limits))
+    flagged = cut(flagged)
 
     alone = flagged.where("n = 1").select("bar_id", "kinds")
     several = flagged.where("n > 1").select(*[F.col(f"reading.{k}").alias(f"r_{k}") for k in keys], "kinds")
