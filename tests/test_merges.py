@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import latest_wins, scd2
 from tidemark.sources import schemas
 from tidemark.sources.schemas import fields, schema
-from tidemark.sources.versioned import PART, ConcurrentCommit, ConstraintViolation, SchemaMismatch, VersionedTable, find_tables
+from tidemark.sources.versioned import PART, ConcurrentCommit, ConstraintViolation, SchemaMismatch, VersionedTable, VersionExpired, find_tables
 
 ATTRIBUTES = schema(fields("k string"), fields(optional="ticker string"))
 
@@ -168,6 +168,18 @@ def test_merges_rewrite_only_parts_that_change(spark, tmp_path, rows):
     assert len(read) == 1 and f"{PART}=b" in read[0]
 
 
+def test_expired_versions(spark, tmp_path, rows):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.ensure(STATE, layout="substring(k, 1, 1)")
+    for n, v in enumerate(["p", "q", "r"], 1):
+        latest_wins.merge_latest(table, arrived(spark, ("a", v, n), ("b", "p", n)), ["k"], ["v"])
+    assert table.expire(keep=2) == 1  # a's first folder; b's is still used
+    assert rows(table.read().select("k", "v")) == [("a", "r"), ("b", "p")] and rows(table.read(2).select("k", "v")) == [("a", "q"), ("b", "p")]
+    with pytest.raises(VersionExpired):
+        table.read(1)
+    assert table.history().count() == 4 and table.expire(keep=2) == 0 and table.expire() == 1
+
+
 def test_scd2_parts(spark, tmp_path, rows):
     table = VersionedTable(spark, str(tmp_path / "dim"))
     scd2.ensure_table(table, ATTRIBUTES, "k", 8)

@@ -22,7 +22,7 @@ from tidemark.session import cut, file_system
 from tidemark.sources.log import CommitLog, ConcurrentCommit
 from tidemark.sources.schemas import drift
 
-__all__ = ["ConcurrentCommit", "ConstraintViolation", "SchemaMismatch", "VersionedTable", "find_tables"]
+__all__ = ["ConcurrentCommit", "ConstraintViolation", "SchemaMismatch", "VersionExpired", "VersionedTable", "find_tables"]
 
 PART = "part__"
 #: The only part of a table without a layout.
@@ -37,6 +37,10 @@ class ConstraintViolation(ValueError):
     """Rows to be committed break the table's contract; nothing was published."""
 
 
+class VersionExpired(ValueError):
+    """The version is in the log, but its rows were given up by ``expire``."""
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -66,8 +70,13 @@ class VersionedTable:
         return T.StructType.fromJson(json.loads(self.entry()["schema"]))
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The rows of a version, the latest unless given."""
-        return self._rows(self.entry(version))
+        """The rows of a version, the latest unless given; raises VersionExpired if some of them are gone."""
+        entry = self.entry(version)
+        for folder in (f for held in entry["parts"].values() for f in held) if version is not None else ():
+            fs, at = file_system(self.spark, f"{self.path}/{folder}")
+            if not fs.exists(at):
+                raise VersionExpired(f"version {version} of {self.path} has expired")
+        return self._rows(entry)
 
     def _rows(self, entry: dict, parts: Iterable[str] | None = None) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
@@ -203,6 +212,23 @@ class VersionedTable:
         return counts
 
 
+    def expire(self, keep: int = 1) -> int:
+        """Remove the folders that only versions before the last ``keep`` use; returns their number.
+
+        The log stays whole. Readers of an expired version fail, those of kept ones don't notice. Folders of commits that
+        failed half-way, or are under way, aren't in the log and aren't touched.
+        """
+        versions = self.versions()
+        folders = lambda some: {f for v in some for held in self.log.entry(v)["parts"].values() for f in held}
+        kept = max(1, keep)
+        gone = folders(versions[:-kept]) - folders(versions[-kept:])
+        removed = 0
+        for folder in sorted(gone):
+            fs, at = file_system(self.spark, f"{self.path}/{folder}")
+            removed += bool(fs.delete(at, True))
+        return removed
+
+
 def find_tables(spark: SparkSession, root: str) -> DataFrame:
     """name and path of every table under a folder; tables aren't searched for further tables."""
     fs, _ = file_system(spark, root)
