@@ -169,7 +169,7 @@ def _screened(batches: Iterator[pa.RecordBatch], bits: int, probes: int) -> Iter
                     screen.bucket = number
                 fresh, hits = screen.check(stretch.column("hash").to_numpy().view(np.uint64))
                 taken = stretch.take(pa.array(fresh))
-                held.append(_rows(len(fresh), kind=NEW, **{c: taken.column(c) for c in ("bucket", "id", "arrival", "hash", "key")}))
+                held.append(_rows(len(fresh), kind=NEW, bucket=taken.column("bucket"), key=taken.column("key")))
                 if hits:
                     taken = stretch.take(pa.array(list(hits)))
                     again = {c: taken.column(c) for c in ("id", "arrival", "hash", "key")}
@@ -245,7 +245,7 @@ class MessageStore:
         2. Rows are partitioned by hash, one shard a task, behind the shard's filters, and sorted by arrival. A
            row that no filter knows is new: its identifier is stored, its hash goes into the filter of the
            bucket now filling. The others are suspects and take the numbers of the buckets that answered.
-        3. Only those buckets' storage is read, and suspects are looked up in it by hash and identifier.
+        3. Only those buckets' storage, nothing but identifiers, is read, and suspects are looked up in it.
            One that isn't there was a false alarm: the earliest row of its message is kept and stored
            in a bucket that answered, where it will be found from now on.
         The delivery becomes part of the store when its log entry is published; a delivery that fails leaves
@@ -298,15 +298,13 @@ class MessageStore:
         answered = [r[0] for r in suspects.select(F.explode("hits").alias("b")).distinct().collect()]
         self.buckets_read = sorted(answered)
         stored = self._read([*known, folder], NEW, answered)
-        asked = suspects.groupBy("hash", "key").agg(F.min(F.struct("arrival", "id", F.array_min("hits").alias("bucket"))).alias("first"))
+        asked = suspects.groupBy("key").agg(F.min(F.struct("arrival", "id", F.array_min("hits").alias("bucket"))).alias("first"))
         if stored is not None:
-            asked_for = broadcast_if_small(asked.select("hash", "key"))
-            there = stored.select("hash", "key").join(asked_for, ["hash", "key"], "left_semi")
-            asked = asked.join(there, ["hash", "key"], "left_anti")
-        alarms = asked.select(F.col("first.bucket").alias("bucket"), F.col("first.id").alias("id"), F.col("first.arrival").alias("arrival"), "hash", "key")
+            there = stored.select("key").join(broadcast_if_small(asked.select("key")), "key", "left_semi")
+            asked = asked.join(there, "key", "left_anti")
         late = f"{folder}-late"
-        empty = {"hits": F.lit(None).cast("array<long>"), "bits": F.lit(None).cast("binary")}
-        alarms.withColumns({"kind": F.lit(NEW), **empty}).write.partitionBy("kind", "bucket").parquet(late)
+        alarms = asked.select(F.lit(NEW).alias("kind"), F.col("first.bucket").alias("bucket"), F.col("first.id").alias("id"), "key")
+        alarms.write.partitionBy("kind", "bucket").parquet(late)
         kept = self._read([late], NEW)
         if kept is None:
             return repeats.union(suspects.select("id")), []
