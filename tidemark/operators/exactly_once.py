@@ -8,6 +8,7 @@ exactly, in the storage of just the buckets whose filters answered.
 
 from __future__ import annotations
 
+import base64
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -155,8 +156,9 @@ def _screened(batches: Iterator[pa.RecordBatch], bits: int, probes: int) -> Iter
             part = batch.slice(start, end - start)
             kind = part.column("kind")[0].as_py()
             if kind == FILTER:
-                for bucket, content in zip(part.column("bucket").to_pylist(), part.column("bits").to_pylist(), strict=True):
-                    screen.know(bucket, content)
+                # a filter comes as text in place of a key: null columns of lists and bytes beside every row cost more than all else
+                for bucket, content in zip(part.column("bucket").to_pylist(), part.column("key").to_pylist(), strict=True):
+                    screen.know(bucket, base64.b64decode(content))
                 continue
             if kind == REPEAT:
                 held.append(_rows(len(part), kind=REPEAT, bucket=-1, id=part.column("id")))
@@ -277,12 +279,10 @@ class MessageStore:
             "arrival",
             F.xxhash64(F.when(settled, F.col("id").cast("string")).otherwise(F.col("key"))).alias("hash"),
             F.when(~settled, F.col("key")).alias("key"),
-            F.lit(None).cast("array<long>").alias("hits"),
-            F.lit(None).cast("binary").alias("bits"),
         )
         filters = self._read(known, FILTER)
         if filters is not None:  # routed by one of their own hashes, so each meets the rows of its shard
-            routed = routed.unionByName(filters.withColumn("kind", F.lit(FILTER)))
+            routed = routed.unionByName(filters.select(F.lit(FILTER).alias("kind"), "bucket", "id", "arrival", "hash", F.base64("bits").alias("key")))
         ordered = routed.repartition(self.shards, "hash").sortWithinPartitions("kind", "arrival", "id")
         bits, probes = self.bits, self.probes
         ordered.mapInArrow(lambda batches: _screened(batches, bits, probes), _SCHEMA).write.partitionBy("kind", "bucket").parquet(folder)
