@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import io
+from contextlib import redirect_stdout
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -493,8 +495,9 @@ def job_silver(spark: SparkSession, folder: str) -> DataFrame:
         held = lake.bronze(source)
         held.ensure(rows.schema)
         held.append(rows)
-    for _ in range(2):
-        jobs.build_silver(lake, FIRST_DAY, LAST_DAY)
+    with redirect_stdout(io.StringIO()):  # what a job says isn't part of a query
+        for _ in range(2):
+            jobs.build_silver(lake, FIRST_DAY, LAST_DAY)
     return lake.bars.read().select(*schemas.BAR_KEYS, "close", "volume", "value_hash", "source_run_id", "revision_count", F.lit(len(lake.bars.versions())).alias("n_versions"))
 
 
