@@ -466,7 +466,11 @@ def _flag_by_context(limits: Limits):
     return run
 
 
-def _flag_hot(rows: DataFrame, kind: str, limits: Limits) -> DataFrame:
+#: Flagged readings: keys as JSON where a reading stands for ``n`` > 1 rows, else null.
+_FLAGGED = "reading string, n long, bar_id long, kinds int"
+
+
+def _flag_hot(rows: DataFrame, limits: Limits) -> DataFrame:
     """``reading, n, bar_id, kinds`` of the flagged rows of series with more readings than one task should hold.
 
     Only the last reading of each session goes into the series' task, no more than the calendar has days; what it
@@ -478,8 +482,7 @@ def _flag_hot(rows: DataFrame, kind: str, limits: Limits) -> DataFrame:
     columns = "series string, day int, last_id long, session long, excursion boolean, " + ", ".join(f"{c} double" for c in CONTEXT)
     contexts = cut(lasts.repartition("series").sortWithinPartitions("series", "day").mapInArrow(_session_contexts(limits), columns))
     placed = rows.join(broadcast_if_small(contexts), ["series", "day"])
-    out = f"reading {kind}, n long, bar_id long, kinds int"
-    away = placed.mapInArrow(_flag_by_context(limits), out)
+    away = placed.mapInArrow(_flag_by_context(limits), _FLAGGED)
 
     whole = placed.where(" AND ".join(["volume > 0", *[f"{c} IS NOT NULL" for c in READING]])).select("series", *READING, "session", "reading", "n", "bar_id")
     alike = Window.partitionBy("series", *READING)
@@ -528,22 +531,23 @@ def flag_bars(bars: DataFrame, actions: DataFrame, unadjusted: tuple[str, ...] =
         F.col("n"),
         *[F.col(k).cast("double").alias(k) for k in READING],
         factor.cast("double").alias("factor"),
-        F.when(F.col("n") > 1, F.struct(*keys)).alias("reading"),
+        # as text: most are null, and a null struct costs more on the way to Python than all other columns
+        F.when(F.col("n") > 1, F.to_json(F.struct(*keys))).alias("reading"),
     )
-    kind = rows.select(*keys).schema.simpleString()
     hot = hot_keys(rows.where(placed).select(series.alias("series")), "series", hot_rows).select("series")
     usual = arranged
     if not hot.isEmpty():
         arranged, hot = cut(arranged), broadcast_if_small(hot)
         usual = arranged.join(hot, "series", "left_anti")
     ordered = usual.repartition("series").sortWithinPartitions("series", "day", "at", "bar_id")
-    flagged = ordered.mapInArrow(_flag_series(limits), f"reading {kind}, n long, bar_id long, kinds int")
+    flagged = ordered.mapInArrow(_flag_series(limits), _FLAGGED)
     if usual is not arranged:
-        flagged = flagged.unionByName(_flag_hot(arranged.join(hot, "series", "left_semi"), kind, limits))
+        flagged = flagged.unionByName(_flag_hot(arranged.join(hot, "series", "left_semi"), limits))
     flagged = cut(flagged)
 
     alone = flagged.where("n = 1").select("bar_id", "kinds")
-    several = flagged.where("n > 1").select(*[F.col(f"reading.{k}").alias(f"r_{k}") for k in keys], "kinds")
+    read = F.from_json("reading", rows.select(*keys).schema).alias("reading")
+    several = flagged.where("n > 1").select(read, "kinds").select(*[F.col(f"reading.{k}").alias(f"r_{k}") for k in keys], "kinds")
     several = broadcast_if_small(several)
     same = [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys]
     return alone.union(rows.join(several, same).select("bar_id", "kinds"))
