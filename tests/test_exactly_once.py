@@ -85,6 +85,20 @@ def test_false_alarms_are_kept_once_and_found_later(spark, tmp_path):
     assert sum(spark.read.parquet(f).count() for f in late) > 500  # false alarms there were
 
 
+def test_many_deliveries_become_one(spark, tmp_path):
+    store = exactly_once.MessageStore(spark, str(tmp_path / "store"), shards=2, bucket_days=30, bits=1, probes=1)
+    store.consolidate()  # nothing there yet
+    for n in range(4):
+        assert _deliver(spark, store, [(n * 10_000 + i, f"d{n}-{i}", 40 * (n % 2) + n) for i in range(3000)]) == []
+    filters = lambda: store._read(store.log.entry(store.log.versions()[-1])["folders"], exactly_once.FILTER).count()
+    before = filters()
+    store.consolidate()
+    assert before == 8 and filters() == 4 and len(list((tmp_path / "store").iterdir())) == 2
+    assert store._read(store.log.entry(5)["folders"], exactly_once.NEW).count() == 12_000
+    again = exactly_once.MessageStore(spark, str(tmp_path / "store"))
+    assert _deliver(spark, again, [(n, f"d{n % 4}-{n}", 200) for n in range(2000)] + [(9000, "other", 201)]) == list(range(2000))
+
+
 def test_a_failed_delivery_leaves_nothing_behind(spark, tmp_path, monkeypatch):
     store = exactly_once.MessageStore(spark, str(tmp_path / "store"), shards=2)
     monkeypatch.setattr(store, "_verify", lambda known, folder: 1 / 0)

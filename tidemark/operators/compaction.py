@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -92,6 +92,7 @@ def compact(
     open_cost: int = OPEN_COST,
     destination: str | None = None,
     counted_by: Sequence[str] = (),
+    also: Mapping[str, Column] | None = None,
 ) -> tuple[str, dict, DataFrame | None]:
     """Rewrite the Parquet dataset at ``source`` as few well-sized files; returns their folder, figures and counts.
 
@@ -99,7 +100,7 @@ def compact(
     written to a staging folder; the number of rows and an order-free hash over all columns are taken of the
     rows on their way. Then what was written is read back, and its number and hash must be the same, else
     VerificationError is raised and the staged files are removed. That pass also counts rows by
-    ``counted_by`` (None without): as many counts as there are values.
+    ``counted_by`` (None without): as many counts as there are values. ``also`` names further sums for each.
 
     Without ``destination`` the copy is staged and goes with the application; with it, it stays, and a reader switches
     by taking that folder. The source is never touched. Repeated rows are rows like any other. An empty
@@ -120,8 +121,9 @@ def compact(
     written = own.read.parquet(staged)
     counts = None
     if counted_by:
-        per_value = cut(written.groupBy(*counted_by).agg(*_sums(written)))
-        counts = per_value.select(*counted_by, F.col("n").alias("n_rows"))
+        more = also or {}
+        per_value = cut(written.groupBy(*counted_by).agg(*_sums(written), *[c.alias(f"_{name}") for name, c in more.items()]))
+        counts = per_value.select(*counted_by, F.col("n").alias("n_rows"), *[F.col(f"_{name}").alias(name) for name in more])
         # a group's sums add up to those of the whole
         after = per_value.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("high", "low")]).first().asDict()
     else:

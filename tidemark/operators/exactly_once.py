@@ -184,6 +184,29 @@ def _screened(batches: Iterator[pa.RecordBatch], bits: int, probes: int) -> Iter
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], bits: int, probes: int) -> Iterator[pa.RecordBatch]:
+    """A shard's stored identifiers, sorted by bucket, again, and one filter for each bucket."""
+    bucket, hashes = None, []
+
+    def finished() -> Iterator[pa.RecordBatch]:
+        if hashes:
+            own = np.concatenate(hashes)
+            whole = Bloom(len(own), bits=bits, probes=probes)
+            whole.add(own)
+            yield _rows(1, kind=FILTER, bucket=bucket, hash=own[:1].view(np.int64)[0].item(), bits=[whole.bits.tobytes()])
+
+    for batch in batches:
+        for start, end in _runs(batch.column("bucket").to_numpy()):
+            part = batch.slice(start, end - start)
+            number = part.column("bucket")[0].as_py()
+            if number != bucket:
+                yield from finished()
+                bucket, hashes = number, []
+            hashes.append(part.column("hash").to_numpy().view(np.uint64))
+            yield _rows(len(part), kind=NEW, bucket=part.column("bucket"), key=part.column("key"))
+    yield from finished()
+
+
 def _local_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows again, each marked if the same batch holds an earlier one of its key."""
     for batch in batches:
@@ -267,6 +290,26 @@ class MessageStore:
             raise
         return found.select(F.col("id").alias(identity))
 
+    def consolidate(self) -> None:
+        """Rewrite the store as if all had come in one delivery: one filter and one file for each bucket and shard.
+
+        Many small deliveries leave many small filters, each of which every row is checked against. False alarms stored late
+        become part of the filter of their bucket. What was there before stays until the new state is published, then
+        it is removed.
+        """
+        version = self.log.versions()[-1]
+        known = self.log.entry(version)["folders"]
+        stored = self._read(known, NEW)
+        if stored is None:
+            return
+        folder, bits, probes = f"{self.path}/{uuid.uuid4().hex}", self.bits, self.probes
+        rows = stored.select("bucket", F.xxhash64("key").alias("hash"), "key").repartition(self.shards, "hash").sortWithinPartitions("bucket")
+        rows.mapInArrow(lambda batches: _gathered(batches, bits, probes), _SCHEMA).write.partitionBy("kind", "bucket").parquet(folder)
+        self.log.publish(version + 1, {"folders": [folder]})
+        for old in known:
+            fs, at = file_system(self.spark, old)
+            fs.delete(at, True)
+
     def _screen(self, rows: DataFrame, key: Column, arrival: Column, identity: str, known: list[str], folder: str) -> None:
         micros = F.coalesce(F.unix_micros(arrival), F.lit(2**62))
         narrow = rows.where(key.isNotNull()).select(F.col(identity).cast("long").alias("id"), key.alias("key"), micros.alias("arrival"))
