@@ -208,8 +208,9 @@ def _gathered(batches: Iterator[pa.RecordBatch], bits: int, probes: int) -> Iter
 
 
 def _local_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows again, each marked if the same batch holds an earlier one of its key."""
+    """The rows that have a key, each marked if the same batch holds an earlier one of its key."""
     for batch in batches:
+        batch = batch.filter(batch.column("key").is_valid())
         table = pa.Table.from_batches([batch]).append_column("row", pa.array(np.arange(len(batch), dtype=np.int64)))
         order = np.lexsort((batch.column("id").to_numpy(), batch.column("arrival").to_numpy()))
         rank = np.empty(len(order), np.int64)
@@ -312,7 +313,8 @@ class MessageStore:
 
     def _screen(self, rows: DataFrame, key: Column, arrival: Column, identity: str, known: list[str], folder: str) -> None:
         micros = F.coalesce(F.unix_micros(arrival), F.lit(2**62))
-        narrow = rows.where(key.isNotNull()).select(F.col(identity).cast("long").alias("id"), key.alias("key"), micros.alias("arrival"))
+        # rows without a key are left out in Python: a filter here would compute the key twice
+        narrow = rows.select(F.col(identity).cast("long").alias("id"), key.alias("key"), micros.alias("arrival"))
         marked = narrow.mapInArrow(_local_repeats, "id long, key string, arrival long, repeated boolean")
         settled = F.col("repeated")
         routed = marked.select(
